@@ -7,6 +7,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 _erfc = np.frompyfunc(math.erfc, 1, 1)
 _lgamma = np.frompyfunc(math.lgamma, 1, 1)
@@ -102,7 +103,7 @@ def t_two_sided(t, df) -> np.ndarray:
     return beta_inc(df / 2, 0.5, df / (df + t * t))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_p(z: pd.Series) -> pd.Series:
     """Two-sided p of a standard normal statistic."""
     ok = z.notna()
@@ -111,7 +112,7 @@ def normal_p(z: pd.Series) -> pd.Series:
     return out.astype(object).where(ok, None)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def student_p(t: pd.Series, df: pd.Series) -> pd.Series:
     """Two-sided p of a Student t statistic."""
     ok = t.notna() & df.notna()
@@ -120,7 +121,7 @@ def student_p(t: pd.Series, df: pd.Series) -> pd.Series:
     return out.astype(object).where(ok, None)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi2_p(stat: pd.Series, df: pd.Series) -> pd.Series:
     """Upper-tail p of a chi-square statistic."""
     ok = stat.notna() & df.notna() & (df > 0)
