@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellframe.functions.exprs import GENE_CLASSES, gene_class, nan_to_null, value_bin
+from cellframe.functions.exprs import GENE_CLASSES, gene_class
 from cellframe.functions.params import parse_equality
+from cellframe.operators.ranks import median_by
 
 # The k of "share of counts in the top k genes".
 TOP_SHARES = (20, 50, 100)
@@ -123,32 +124,13 @@ def in_box(cells: DataFrame, x_min: float, x_max: float, y_min: float, y_max: fl
 
 
 def medians(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Exact medians (nulls skipped) as rows ``(metric, median)``, without one task holding all values.
+    """Exact medians (nulls skipped) of several columns as rows ``(metric, median)``."""
+    return median_by(_as_metrics(df, columns), "metric", "_v")
 
-    Values are counted per distinct value and bin; running totals over the few bins find the bin of the
-    middle positions, and only that bin's distinct values are ordered.
-    """
-    spread = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("_v")) for c in columns
-    ])).alias("_m")).select("_m.*").where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    counts = spread.groupBy("metric", "_v").agg(F.count("*").alias("_n")).withColumn("_bin", value_bin(F.col("_v")))
-    bins = counts.groupBy("metric", "_bin").agg(F.sum("_n").alias("_n"))
-    upward = Window.partitionBy("metric").orderBy("_bin")
-    bins = bins.select(
-        "metric", "_bin",
-        (F.sum("_n").over(upward) - F.col("_n")).alias("_below"),
-        F.sum("_n").over(upward).alias("_upto"),
-        F.sum("_n").over(Window.partitionBy("metric")).alias("_all"),
-    )
-    low, high = F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)
-    holds = ((F.col("_below") <= low) & (low < F.col("_upto"))) | ((F.col("_below") <= high) & (high < F.col("_upto")))
-    inside = Window.partitionBy("metric", "_bin").orderBy("_v")
-    near = counts.join(bins.where(holds), ["metric", "_bin"]).withColumn(
-        "_upto", F.col("_below") + F.sum("_n").over(inside)
-    )
-    first = F.min(F.when(F.col("_upto") > low, F.col("_v")))
-    second = F.min(F.when(F.col("_upto") > high, F.col("_v")))
-    return near.groupBy("metric").agg(((first + second) / 2).alias("median"))
+
+def _as_metrics(df: DataFrame, columns: list[str]) -> DataFrame:
+    values = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("_v")) for c in columns])
+    return df.select(F.inline(values)).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
 
 
 def qc_medians(qc: DataFrame) -> DataFrame:
@@ -157,9 +139,7 @@ def qc_medians(qc: DataFrame) -> DataFrame:
 
 def qc_distribution(qc: DataFrame, columns: list[str], n_bins: int = 50) -> DataFrame:
     """Equal-width histogram of QC columns: the table behind violin and histogram plots."""
-    spread = qc.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("_v")) for c in columns
-    ])).alias("_m")).select("_m.*").where(F.col("_v").isNotNull())
+    spread = _as_metrics(qc, columns)
     ranges = spread.groupBy("metric").agg(F.min("_v").alias("low"), F.max("_v").alias("high"))
     width = (F.col("high") - F.col("low")) / n_bins
     slot = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("low")) / width), F.lit(n_bins - 1))).otherwise(0)

@@ -93,3 +93,24 @@ def adjust(df: DataFrame, p: str, by: list[str] | None = None, out: str = "pval_
     )
     joined = work.withColumn("_p", F.col(p)).join(adjusted, [*keys, "_p"], "left").drop("_p")
     return joined if by else joined.drop("_all")
+
+
+def median_by(df: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, median), exact; only the value bins at the middle positions are ordered."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(key, F.col(value).cast("double").alias("_v")).agg(
+        F.count("*").alias("_n")
+    ).withColumn("_bin", value_bin(F.col("_v")))
+    bins = counts.groupBy(key, "_bin").agg(F.sum("_n").alias("_n"))
+    upward = Window.partitionBy(key).orderBy("_bin")
+    bins = bins.select(
+        key, "_bin", (F.sum("_n").over(upward) - F.col("_n")).alias("_below"), F.sum("_n").over(upward).alias("_upto"),
+        F.sum("_n").over(Window.partitionBy(key)).alias("_all"),
+    )
+    low, high = F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)
+    holds = ((F.col("_below") <= low) & (low < F.col("_upto"))) | ((F.col("_below") <= high) & (high < F.col("_upto")))
+    inside = Window.partitionBy(key, "_bin").orderBy("_v")
+    near = counts.join(bins.where(holds).drop("_upto"), [key, "_bin"]).withColumn(
+        "_upto", F.col("_below") + F.sum("_n").over(inside)
+    )
+    first, second = F.min(F.when(F.col("_upto") > low, F.col("_v"))), F.min(F.when(F.col("_upto") > high, F.col("_v")))
+    return near.groupBy(key).agg(((first + second) / 2).alias("median"))
