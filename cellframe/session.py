@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 _local_root: str | None = None
 
 
-def local_session(cores: str = "*", app: str = "cellframe") -> SparkSession:
+def local_session(cores: str = "*", app: str = "cellframe", partitions: int | None = None) -> SparkSession:
     """A local session for tests and benchmarks; on a cluster, pass your own session instead."""
     n = 8 if cores == "*" else int(cores)
     spark = (
@@ -19,7 +19,7 @@ def local_session(cores: str = "*", app: str = "cellframe") -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(n))
+        .config("spark.sql.shuffle.partitions", str(partitions or n))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
