@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The gene classes of quality control.
@@ -57,5 +57,9 @@ def box(prefix: str = "") -> dict[str, Column]:
     return {k: F.col(prefix + k) for k in ("x_min", "x_max", "y_min", "y_max")}
 
 
-def nan_to_null(value: Column) -> Column:
-    return F.when(~F.isnan(value), value)
+def lookup(small: DataFrame, key: str, *columns: str) -> Column:
+    """Rows of a few-group summary as one map, key -> struct, in a scalar subquery.
+
+    Reading it with ``try_element_at`` spares a join on a key with few, hot values.
+    """
+    return small.agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), F.struct(*columns))))).scalar()

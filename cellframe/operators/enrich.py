@@ -155,15 +155,14 @@ def mlm_scores(
         return expr.sparkSession.createDataFrame([], schema)
     wide = sums.select(
         "cell_id", F.coalesce("sy", F.lit(0.0)).alias("sy"), F.coalesce("syy", F.lit(0.0)).alias("syy"),
-        F.transform(
-            F.map_values("sxy"), lambda v: v
-        ).alias("v"),
+        F.map_values("sxy").alias("v"),
         F.transform(
             F.map_keys("sxy"), lambda k: F.concat_ws("\u0001", k["net_name"], k["source"])
         ).alias("k"),
     )
     at = {f"{name}\u0001{s}": i for i, (name, s) in enumerate(catalog)}
     width = len(catalog)
+    shared = expr.sparkSession.sparkContext.broadcast(models)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -173,7 +172,7 @@ def mlm_scores(
                     right[i, [at[k] for k in keys]] = values
             scores = []
             first = 0
-            for _, sources, inverse in models:
+            for _, sources, inverse in shared.value:
                 v = np.column_stack([pdf["sy"].to_numpy(), right[:, first:first + len(sources)]])
                 beta = v @ inverse
                 rss = np.maximum(pdf["syy"].to_numpy() - (beta * v).sum(axis=1), 0.0)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellframe.functions.exprs import GENE_CLASSES, gene_class
+from cellframe.functions.exprs import GENE_CLASSES, gene_class, lookup
 from cellframe.functions.params import parse_equality
 from cellframe.operators.ranks import median_by
 
@@ -140,10 +140,11 @@ def qc_medians(qc: DataFrame) -> DataFrame:
 def qc_distribution(qc: DataFrame, columns: list[str], n_bins: int = 50) -> DataFrame:
     """Equal-width histogram of QC columns: the table behind violin and histogram plots."""
     spread = _as_metrics(qc, columns)
-    ranges = spread.groupBy("metric").agg(F.min("_v").alias("low"), F.max("_v").alias("high"))
+    ranges = lookup(spread.groupBy("metric").agg(F.min("_v").alias("low"), F.max("_v").alias("high")), "metric", "low", "high")
     width = (F.col("high") - F.col("low")) / n_bins
     slot = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("low")) / width), F.lit(n_bins - 1))).otherwise(0)
-    binned = spread.join(ranges, "metric").groupBy("metric", slot.cast("int").alias("bin")).agg(
+    ranged = spread.withColumn("_r", F.try_element_at(ranges, F.col("metric"))).select("metric", "_v", "_r.low", "_r.high")
+    binned = ranged.groupBy("metric", slot.cast("int").alias("bin")).agg(
         F.count("*").alias("n_cells"), F.any_value("low").alias("_low"), F.any_value(width).alias("_width")
     )
     return binned.select(

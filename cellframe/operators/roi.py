@@ -129,11 +129,11 @@ def candidate_windows(
 def conflicts(ranked: DataFrame, min_distance: float = 250.0, max_iou: float = 0.4) -> DataFrame:
     """Pairs of candidates that may not both be accepted, from at most ``max_candidates`` ranked rows."""
     sides = ["candidate", "x_min", "x_max", "y_min", "y_max", "x_center", "y_center"]
-    a = ranked.select(*[F.col(c).alias(f"a_{c}") for c in sides])
-    b = ranked.select(*[F.col(c).alias(f"b_{c}") for c in sides])
+    listed = ranked.agg(F.collect_list(F.struct(*[F.col(c).alias(f"b_{c}") for c in sides]))).scalar()
+    pairs = ranked.select(*[F.col(c).alias(f"a_{c}") for c in sides], F.inline_outer(listed))
     near = F.hypot(F.col("a_x_center") - F.col("b_x_center"), F.col("a_y_center") - F.col("b_y_center")) < min_distance
     overlap = box_iou(box("a_"), box("b_"))
-    return a.join(b, F.col("a_candidate") < F.col("b_candidate")).where(near | (overlap > max_iou)).select(
+    return pairs.where((F.col("a_candidate") < F.col("b_candidate")) & (near | (overlap > max_iou))).select(
         "a_candidate", "b_candidate", overlap.alias("iou")
     )
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellframe.functions.exprs import hash_order
+from cellframe.functions.exprs import hash_order, lookup
 
 _PREFIX = 4  # hex digits of the hash: 65,536 slots per group
 
 
-def _keep_first(cells: DataFrame, by: list[str], keep: Column, seed: int) -> DataFrame:
+def _keep_first(cells: DataFrame, by: str, keep: Column, seed: int) -> DataFrame:
     """Per group the first ``keep`` rows in hash order, no group passing through one task.
 
     Rows are counted per hash slot; running totals over the slots find the slot where the quota ends.
@@ -19,24 +19,26 @@ def _keep_first(cells: DataFrame, by: list[str], keep: Column, seed: int) -> Dat
     """
     hashed = cells.withColumn("_h", hash_order(seed, F.col("cell_id")))
     hashed = hashed.withColumn("_slot", F.conv(F.substring("_h", 1, _PREFIX), 16, 10).cast("int"))
-    slots = hashed.groupBy(*by, "_slot").agg(F.count("*").alias("_n"))
-    upward = Window.partitionBy(*by).orderBy("_slot")
+    slots = hashed.groupBy(by, "_slot").agg(F.count("*").alias("_n"))
+    upward = Window.partitionBy(by).orderBy("_slot")
     slots = slots.select(
-        *by, "_slot", "_n",
-        F.sum("_n").over(upward).alias("_upto"), F.sum("_n").over(Window.partitionBy(*by)).alias("_size"),
+        by, "_slot", "_n",
+        F.sum("_n").over(upward).alias("_upto"), F.sum("_n").over(Window.partitionBy(by)).alias("_size"),
     )
     last = slots.withColumn("_keep", keep).where(
         (F.col("_upto") - F.col("_n") < F.col("_keep")) & (F.col("_upto") >= F.col("_keep"))
-    ).select(*by, F.col("_slot").alias("_last"), (F.col("_keep") - F.col("_upto") + F.col("_n")).alias("_need"))
-    short = slots.groupBy(*by).agg(F.max("_slot").alias("_max"), F.any_value("_size").alias("_size")).withColumn(
+    ).select(by, F.col("_slot").alias("_last"), (F.col("_keep") - F.col("_upto") + F.col("_n")).alias("_need"))
+    short = slots.groupBy(by).agg(F.max("_slot").alias("_max"), F.any_value("_size").alias("_size")).withColumn(
         "_keep", keep
     ).where((F.col("_size") < F.col("_keep"))).select(
-        *by, F.col("_max").alias("_last"), F.lit(None).cast("bigint").alias("_need")
+        by, F.col("_max").alias("_last"), F.lit(None).cast("bigint").alias("_need")
     )
-    limits = last.unionByName(short)
-    joined = hashed.join(limits, by).where(F.col("_slot") <= F.col("_last"))
+    limits = lookup(last.unionByName(short), by, "_last", "_need")
+    joined = hashed.withColumn("_end", F.try_element_at(limits, F.col(by))).select(
+        "*", F.col("_end._last").alias("_last"), F.col("_end._need").alias("_need")
+    ).where(F.col("_slot") <= F.col("_last"))
     whole = joined.where((F.col("_slot") < F.col("_last")) | F.col("_need").isNull())
-    order = Window.partitionBy(*by).orderBy("_h", "cell_id")
+    order = Window.partitionBy(by).orderBy("_h", "cell_id")
     part = joined.where((F.col("_slot") == F.col("_last")) & F.col("_need").isNotNull())
     part = part.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= F.col("_need")).drop("_r")
     return whole.unionByName(part).select(*cells.columns)
@@ -49,11 +51,11 @@ def downsample_fraction(cells: DataFrame, fraction: float, seed: int = 0) -> Dat
     if fraction == 1:
         return cells
     quota = F.floor(F.col("_size") * F.lit(float(fraction)))
-    return _keep_first(cells.withColumn("_all", F.lit(0)), ["_all"], quota, seed).drop("_all")
+    return _keep_first(cells.withColumn("_all", F.lit(0)), "_all", quota, seed).drop("_all")
 
 
 def downsample_per_sample(cells: DataFrame, n: int, seed: int = 0, sample: str = "sample") -> DataFrame:
     """At most ``n`` cells of every sample; smaller samples stay whole."""
     if n < 1:
         raise ValueError("n must be positive")
-    return _keep_first(cells, [sample], F.lit(n).cast("bigint"), seed)
+    return _keep_first(cells.where(F.col(sample).isNotNull()), sample, F.lit(n).cast("bigint"), seed)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cellframe.functions.exprs import first_scalar
 from cellframe.functions.params import resolution_column, resolution_of
 from cellframe.operators import enrich, labels, normalize, qc, sampling, summaries
-from cellframe.session import scratch_root
+from cellframe.session import scratch_root, store
 from cellframe.sources import manifest as mf
 from cellframe.sources import markers as mk
 from checks import sql as S
@@ -19,7 +19,8 @@ LOGNORM = (S.EXPR, S.CELLS, S.GENES, S.LOGNORM)
 
 
 def lognorm(spark: SparkSession, sf: str) -> DataFrame:
-    return normalize.normalize_and_log(t.expr(spark, sf))
+    """Counts are stored first, as in a dataset: the normalisation reads them twice (median, then scaling)."""
+    return normalize.normalize_and_log(store(t.expr(spark, sf)))
 
 
 def ulm(spark: SparkSession, sf: str) -> DataFrame:
@@ -367,7 +368,7 @@ hit AS (SELECT *, z IS NOT NULL AND row_number() OVER (PARTITION BY batch ORDER
 @query("variable_genes", S.with_(S.EXPR_BY_PART, S.CELLS, S.LOGNORM).rstrip() + _dispersion_sql(False) + """
 SELECT gene_id, round(z, 6) AS dispersions_norm, hit AS highly_variable FROM hit""")
 def variable_genes(spark, sf):
-    expr = normalize.normalize_and_log(t.expr_by_part(spark, sf))
+    expr = normalize.normalize_and_log(store(t.expr_by_part(spark, sf)))
     genes = t.table(spark, sf, "part").select(F.col("p_partkey").alias("gene_id"))
     out = normalize.variable_genes(expr, t.cells(spark, sf), genes, 200)
     return out.select("gene_id", r6("dispersions_norm"), "highly_variable")
@@ -380,7 +381,7 @@ full_ AS (SELECT gene_id, coalesce(nb, 0) AS nb, z FROM pg LEFT JOIN per USING (
 SELECT gene_id, nb AS n_batches, round(z, 6) AS dispersions_norm,
   nb > 0 AND row_number() OVER (ORDER BY (nb > 0) DESC, nb DESC, z DESC NULLS LAST, gene_id) <= 200 AS highly_variable FROM full_""")
 def variable_genes_by_batch(spark, sf):
-    expr = normalize.normalize_and_log(t.expr_by_part(spark, sf))
+    expr = normalize.normalize_and_log(store(t.expr_by_part(spark, sf)))
     genes = t.table(spark, sf, "part").select(F.col("p_partkey").alias("gene_id"))
     out = normalize.variable_genes(expr, t.cells(spark, sf), genes, 200, batch="sample")
     return out.select("gene_id", "n_batches", r6("dispersions_norm"), "highly_variable")

@@ -157,9 +157,9 @@ def test_composition_golden(spark, include_self, want):
 
 
 def test_composition_untyped_and_isolated(spark):
-    edges = spark.createDataFrame([(0, 1), (0, 0), (2, 1)], "src int, dst int")
+    edges = spark.createDataFrame([(0, 1), (0, 0), (2, 1), (2, 1)], "src int, dst int")
     cells = spark.createDataFrame([(0, "A"), (1, None), (2, None), (3, "B")], "cell_id int, cell_type string")
-    comp = neighborhood.composition(edges, cells)
+    comp = neighborhood.composition(edges, cells, unique_edges=False)
     got = {r["cell_id"]: (r["vector"], r["neighbor_count"]) for r in neighborhood.composition_vectors(comp, cells, ["A", "B"]).collect()}
     assert got == {0: ([1.0, 0.0], 1.0), 1: ([0.0, 0.0], 0.0), 2: ([0.0, 0.0], 0.0), 3: ([0.0, 1.0], 1.0)}
 
