@@ -168,11 +168,11 @@ def neighborhood_vectors(spark, sf):
 
 @query("cluster_composition", "WITH" + POINTS + "," + RADIUS + "," + COMPOSED + """,
 n AS (SELECT library AS cluster, count(*) AS n FROM pts GROUP BY 1)
-SELECT p.library AS cluster, c.cell_type, round(sum(share) / any_value(n.n), 6) AS mean_share
+SELECT p.library AS cluster, c.cell_type, round(sum(share) / any_value(n.n), 9) AS mean_share
 FROM comp c JOIN pts p USING (cell_id) JOIN n ON n.cluster = p.library GROUP BY 1, 2""")
 def cluster_composition(spark, sf):
     clusters = t.points(spark, sf).select("cell_id", F.col("library").alias("cluster"))
-    return neighborhood.cluster_composition(composed(spark, sf), clusters).select("cluster", "cell_type", r6("mean_share"))
+    return neighborhood.cluster_composition(composed(spark, sf), clusters).select("cluster", "cell_type", r6("mean_share", digits=9))
 
 
 # -- regions of interest -------------------------------------------------------------------------
@@ -201,10 +201,10 @@ top AS (SELECT * FROM ok ORDER BY score DESC, n DESC, k LIMIT 300)"""
 
 
 @query("sliding_windows", "WITH" + POINTS + "," + WINDOWS + """
-SELECT window_id, frac AS window_frac, round(x_min, 4) AS x_min, round(x_max, 4) AS x_max, round(y_min, 4) AS y_min, round(y_max, 4) AS y_max FROM win""")
+SELECT window_id, frac AS window_frac, round(x_min, 8) AS x_min, round(x_max, 8) AS x_max, round(y_min, 8) AS y_min, round(y_max, 8) AS y_max FROM win""")
 def sliding_windows(spark, sf):
     out = roi.sliding_windows(t.points(spark, sf))
-    return out.select(i64("window_id"), "window_frac", *[r6(c, digits=4) for c in ("x_min", "x_max", "y_min", "y_max")])
+    return out.select(i64("window_id"), "window_frac", *[r6(c, digits=8) for c in ("x_min", "x_max", "y_min", "y_max")])
 
 
 @query("cells_per_window", "WITH" + POINTS + "," + WINDOWS + """
@@ -222,11 +222,11 @@ def candidates(spark, sf):
 
 
 @query("candidate_windows", "WITH" + POINTS + "," + WINDOWS + "," + CANDIDATES + """
-SELECT 'orders_cand_' || lpad(k::VARCHAR, 4, '0') AS candidate_id, round(xc, 4) AS x_center, round(yc, 4) AS y_center, frac AS window_frac,
+SELECT 'orders_cand_' || lpad(k::VARCHAR, 4, '0') AS candidate_id, round(xc, 8) AS x_center, round(yc, 8) AS y_center, frac AS window_frac,
   n AS n_cells, round(score, 6) AS score FROM top""")
 def candidate_windows(spark, sf):
     return candidates(spark, sf).select(
-        "candidate_id", r6("x_center", digits=4), r6("y_center", digits=4), "window_frac", "n_cells", r6("score")
+        "candidate_id", r6("x_center", digits=8), r6("y_center", digits=8), "window_frac", "n_cells", r6("score")
     )
 
 
