@@ -11,7 +11,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType, BinaryType
 
@@ -141,14 +141,19 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", decoded: st
     return df.mapInArrow(run, schema)
 
 
+def digest_columns() -> list[Column]:
+    """n_tokens, ids_sha256 and decoded_sha256 of the columns ``ids`` and ``decoded``."""
+    return [
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    ]
+
+
 def digests(df: DataFrame, path: str, pattern: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoding and decoding ``text``."""
     done = decode(encode(df.select("doc_id", "text"), path, pattern).drop("text"), path, pattern)
-    return done.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return done.select("doc_id", *digest_columns())
 
 
 @query("op1_byte_bpe")
