@@ -10,7 +10,8 @@
 3. *Confirm*: neighbours go to a home that both sets are sent to once, and are linked if the exact similarity reaches the threshold.
 4. The links' connected components are the groups.
 
-A pair at similarity 0.85 shares a region of the first level in some tree with probability 1 - (1 - 0.85^4)^16 > 0.99999.
+A pair at similarity 0.85 shares a region of the first level in some tree with probability 1 - (1 - 0.85^4)^24 > 0.9999999; where
+linked documents stand so close that only regions of eight functions are leaves, some tree still holds the pair with 0.9995.
 """
 
 from __future__ import annotations
@@ -32,9 +33,9 @@ from cellframe.session import discard, store
 SHINGLE = 5
 PERCENT = 85
 FUNCTIONS = 128
-TREES = 16
-DEPTHS = (4, 7, 11, 16, 24)
-LEAF = 24
+TREES = 24
+DEPTHS = (4, 6, 8, 11, 15, 20)
+LEAF = 32
 HOME = 256
 _BASE = 987_654_321_012_345_679
 _SLICE = 3_000_000
@@ -96,7 +97,7 @@ def _region_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, d1, d2, keys): size and digest of each row's set, and its region keys (empty without shingles)."""
+    """(doc_id, n, d1, d2, signature): size and digest of each row's set, and its MinHash values (empty without shingles)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -105,16 +106,16 @@ def sketch(docs: DataFrame) -> DataFrame:
             for lo, hi in common.slices(texts, _SLICE):
                 sets = shingle_sets(texts[lo:hi], hashes)
                 some = [s for s in sets if len(s)]
-                keys = iter(_region_keys(_signatures(some)) if some else ())
+                signatures = iter(_signatures(some) if some else ())
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([int(s.sum().view(np.int64)) if len(s) else 0 for s in sets], pa.int64()),
                     pa.array([int(common.mix(s).sum().view(np.int64)) if len(s) else 0 for s in sets], pa.int64()),
-                    pa.array([next(keys).tobytes() if len(s) else b"" for s in sets], pa.binary()),
-                ], ["doc_id", "n", "d1", "d2", "keys"])
+                    pa.array([next(signatures).tobytes() if len(s) else b"" for s in sets], pa.binary()),
+                ], ["doc_id", "n", "d1", "d2", "signature"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id bigint, n bigint, d1 bigint, d2 bigint, keys binary")
+    return rows.mapInArrow(run, "doc_id bigint, n bigint, d1 bigint, d2 bigint, signature binary")
 
 
 def _unfold(classes: DataFrame) -> DataFrame:
@@ -123,12 +124,13 @@ def _unfold(classes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.int64).reshape(-1, len(DEPTHS))
+            signatures = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(-1, FUNCTIONS)
+            keys = _region_keys(signatures).reshape(-1, len(DEPTHS))
             cols = [np.repeat(np.asarray(batch.column(i)), TREES) for i in (0, 1)] + list(keys.T)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc", "n", *names])
 
     schema = ", ".join(f"{c} bigint" for c in ["doc", "n", *names])
-    return classes.select("doc", "n", "keys").mapInArrow(run, schema)
+    return classes.select("doc", "n", "signature").mapInArrow(run, schema)
 
 
 def _leaf_pairs(rows: DataFrame, *key) -> DataFrame:
@@ -216,8 +218,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = store(sketch(docs))
     alive = rows.where("n > 0 and doc_id is not null")
     classes = store(
-        alive.groupBy("n", "d1", "d2").agg(F.min(F.struct("doc_id", "keys")).alias("first"))
-        .select("n", "d1", "d2", F.col("first.doc_id").alias("doc"), F.col("first.keys").alias("keys"))
+        alive.groupBy("n", "d1", "d2").agg(F.min(F.struct("doc_id", "signature")).alias("first"))
+        .select("n", "d1", "d2", F.col("first.doc_id").alias("doc"), F.col("first.signature").alias("signature"))
     )
     pairs = neighbours(classes, percent)
     links = confirmed(docs, pairs, percent)
