@@ -5,12 +5,14 @@ from __future__ import annotations
 import base64
 import os
 import re
+from array import array
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType, BinaryType
@@ -18,14 +20,13 @@ from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType, B
 from cellframe.llm import common
 from cellframe.llm.registry import query
 
-#: A worker remembers the ids of so many distinct pieces, then starts anew; results do not depend on it.
-REMEMBERED = 300_000
+#: A worker remembers the ids of so many of the pieces and matches it saw last; results do not depend on it.
+REMEMBERED = 200_000
 
-#: A piece of regular text: an optional space and what follows up to the next space. If no white space touches a
-#: space and none stands at either end, no match of the pattern crosses the pieces' borders, so they can be encoded
-#: alone. (``\s`` of this pattern covers more characters than the tokenizer's, which is on the safe side.)
-_PIECE = re.compile(" ?[^ ]+")
-_IRREGULAR = re.compile(r" \s|\s |\A\s|\s\Z")
+#: Letters in every version of Unicode, and a sign that is not white space, a letter or a number.
+_LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
+#: In front of a text's first piece: no space stands there.
+_NO_SPACE = "\x00"
 
 
 def _byte_alphabet() -> list[str]:
@@ -35,49 +36,20 @@ def _byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
-class Codec:
-    """A vocabulary of byte strings by rank: encoder, byte table of the ids, and the pieces already seen."""
-
-    def __init__(self, path: str, pattern: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Regex, Tokenizer, models, pre_tokenizers
+class Vocabulary:
+    """Byte strings by rank, and the byte table of the ids."""
 
+    def __init__(self, path: str):
         with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        char = _byte_alphabet()
-        name = {token: "".join(char[b] for b in token) for token in ranks}
-        merges = []
-        for token in sorted(ranks, key=ranks.get):
-            cuts = [(token[:i], token[i:]) for i in range(1, len(token))]
-            cuts = [c for c in cuts if c[0] in ranks and c[1] in ranks]
-            merges += [(name[a], name[b]) for a, b in sorted(cuts, key=lambda c: (ranks[c[0]], ranks[c[1]]))]
-        self.tokenizer = Tokenizer(models.BPE({name[t]: r for t, r in ranks.items()}, merges, ignore_merges=True))
-        self.tokenizer.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.Split(Regex(pattern), "isolated"),
-            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
-        ])
-        size = max(ranks.values()) + 1
+            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        size = max(self.ranks.values()) + 1
         self.length = np.zeros(size, np.int64)
-        for t, r in ranks.items():
+        for t, r in self.ranks.items():
             self.length[r] = len(t)
         self.start = np.cumsum(self.length) - self.length
         self.table = np.zeros(int(self.length.sum()), np.uint8)
-        for t, r in ranks.items():
+        for t, r in self.ranks.items():
             self.table[self.start[r]:self.start[r] + len(t)] = np.frombuffer(t, np.uint8)
-        self.seen: dict[str, tuple[int, ...]] = {}
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and how many each text has."""
-        pieces = [[] if not t else [t] if _IRREGULAR.search(t) else _PIECE.findall(t) for t in texts]
-        wanted = set(chain.from_iterable(pieces))
-        if len(self.seen) + len(wanted) > REMEMBERED:
-            self.seen.clear()
-        new = list(wanted.difference(self.seen))
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.seen[p] = tuple(e.ids)
-        get = self.seen.__getitem__
-        ids = [np.fromiter(chain.from_iterable(map(get, p)), np.int32) for p in pieces]
-        return np.concatenate(ids) if ids else np.zeros(0, np.int32), np.array([len(x) for x in ids], np.int64)
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of the ids; a character that was split over ids comes together again here."""
@@ -92,9 +64,84 @@ class Codec:
         return first.astype(np.int32), (number[ends - 1] if len(ids) else ends).astype(np.int32)
 
 
+class Encoder:
+    """The library's BPE over a vocabulary, and what it has encoded already."""
+
+    def __init__(self, vocabulary: Vocabulary, pattern: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+        from tokenizers import models
+
+        ranks, char = vocabulary.ranks, _byte_alphabet()
+        name = {token: "".join(char[b] for b in token) for token in ranks}
+        merges = []
+        for token in sorted(ranks, key=ranks.get):
+            cuts = [(token[:i], token[i:]) for i in range(1, len(token))]
+            cuts = [c for c in cuts if c[0] in ranks and c[1] in ranks]
+            merges += [(name[a], name[b]) for a, b in sorted(cuts, key=lambda c: (ranks[c[0]], ranks[c[1]]))]
+        self.model = models.BPE({name[t]: r for t, r in ranks.items()}, merges, ignore_merges=True)
+        self.matches = regex.compile(pattern).findall
+        self.char = dict(enumerate(char))
+        self.fresh: dict[str, bytes | None] = {}  # pieces of the last slices
+        self.stale: dict[str, bytes | None] = {}  # and those before
+        self.match = lru_cache(maxsize=REMEMBERED // 4)(self._match)
+
+    def _ids(self, mapped: str) -> bytes:
+        return array("i", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+
+    def _match(self, match: str) -> bytes:
+        return self._ids(match.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.char))
+
+    def _piece(self, piece: str) -> bytes | None:
+        """Ids of a piece between two spaces, with the one before it; None if it can't be encoded alone."""
+        plain = _LATIN.fullmatch(piece)
+        if plain:  # a match of letters, and perhaps one of a single sign
+            word, sign = plain.groups()
+            if sign:
+                found = self.fresh.get(word) or self.stale.get(word)
+                if found is None:
+                    found = self.fresh[word] = self._piece(word)
+                return found + self.match(sign)
+            mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self.char)
+            return self._ids(self.char[32] + mapped)
+        text = piece[1:] if piece[:1] == _NO_SPACE else f" {piece}"
+        if piece in ("", _NO_SPACE) or piece[-1].isspace() or text[1:2].isspace() or text[0] != " " and text[0].isspace():
+            return None
+        return b"".join(map(self.match, self.matches(text)))
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and how many each text has.
+
+        Where no white space touches a space and none stands at either end, no match of the pattern crosses a space but the
+        one that takes it in at its front, so the pieces between spaces are encoded alone. Other texts are taken whole.
+        """
+        pieces: list[list[str]] = []
+        for t in texts:
+            parts = t.split(" ") if t and _NO_SPACE not in t else []
+            if parts:
+                parts[0] = _NO_SPACE + parts[0]
+            pieces.append(parts)
+        if len(self.fresh) > REMEMBERED // 2:
+            self.stale, self.fresh = self.fresh, {}
+        fresh, stale, encode = self.fresh, self.stale, self._piece
+        for p in set(chain.from_iterable(pieces)).difference(fresh):
+            fresh[p] = stale[p] if p in stale else encode(p)
+        data = []
+        for t, parts in zip(texts, pieces):
+            ids = [fresh[p] for p in parts]
+            if None in ids or t and not parts:
+                ids = map(self.match, self.matches(t))
+            data.append(b"".join(ids))
+        return np.frombuffer(b"".join(data), np.int32), np.array([len(x) // 4 for x in data], np.int64)
+
+
+@lru_cache(maxsize=2)
+def vocabulary(path: str) -> Vocabulary:
+    return Vocabulary(path)
+
+
 @lru_cache(maxsize=2)
-def codec(path: str, pattern: str) -> Codec:
-    return Codec(path, pattern)
+def encoder(path: str, pattern: str) -> Encoder:
+    return Encoder(vocabulary(path), pattern)
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", offsets: bool = False, ids: str = "ids") -> DataFrame:
@@ -109,24 +156,23 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", offsets:
         raise ValueError(f"columns exist already: {sorted(clash)}")
 
     def run(texts):
-        c = codec(path, pattern)
-        flat, counts = c.encode(texts)
+        flat, counts = encoder(path, pattern).encode(texts)
         cuts = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
         out = [flat]
         if offsets:
-            parts = [c.offsets(x) for x in np.split(flat, np.cumsum(counts)[:-1])]
+            parts = [vocabulary(path).offsets(x) for x in np.split(flat, np.cumsum(counts)[:-1])]
             out += [np.concatenate([p[k] for p in parts]) for k in (0, 1)]
         return [pa.ListArray.from_arrays(cuts, pa.array(x, pa.int32())) for x in out]
 
     return common.with_columns(df, text, added, run)
 
 
-def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``df`` with the bytes of its token ids; null or empty ids give no bytes."""
     schema = StructType([*df.schema.fields, StructField(decoded, BinaryType())])
 
     def run(batches):
-        c = codec(path, pattern)
+        c = vocabulary(path)
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
                 part = batch.slice(a, 500)
@@ -152,7 +198,7 @@ def digest_columns() -> list[Column]:
 
 def digests(df: DataFrame, path: str, pattern: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoding and decoding ``text``."""
-    done = decode(encode(df.select("doc_id", "text"), path, pattern).drop("text"), path, pattern)
+    done = decode(encode(df.select("doc_id", "text"), path, pattern).drop("text"), path)
     return done.select("doc_id", *digest_columns())
 
 

@@ -39,7 +39,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN).drop("text")
-    done = bpe.decode(encoded, path, public_tokenizers.PATTERN)
+    done = bpe.decode(encoded, path)
     return done.select("doc_id", *bpe.digest_columns(), "ids")
 
 
