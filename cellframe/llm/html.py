@@ -3,7 +3,8 @@
 A page is a row of tokens. A word scores the share of words of its kind that lie in main text, a tag minus ``TAG`` times
 the share of tags of its kind that lie outside; both shares are learned from the pages that label themselves: those whose one
 ``article`` or ``main`` element marks the content. The kind of a word is the element it stands in, whether that is a link, and
-whether an element around it is a menu, form, advert, comment list or the like by name. One linear scan finds the best contiguous
+whether an element around it is a menu, form, advert, comment list or the like by name (an aside): such an element is one tag, and what it holds scores
+nothing. One linear scan finds the best contiguous
 region, and its blocks are the text, but for those of such elements.
 """
 
@@ -24,8 +25,9 @@ from cellframe.llm.registry import query
 
 #: Cost of a tag that never stands in main text, in words.
 TAG = 3.25
-#: Pseudo-counts of kinds that the labelled pages hold rarely: share of main text, and how many tokens that is worth.
-PRIOR = {"text": 0.8, "link": 0.2, "aside": 0.02}
+#: Share of main text of kinds that the labelled pages hold rarely, and how many tokens that assumption is worth.
+PRIOR = {"text": 0.8, "link": 0.2, "open": 0.8, "tag": 0.9}
+PRIOR_INLINE = 0.95
 WEIGHT = 20.0
 
 # Element names of the HTML standard by their part here.
@@ -75,7 +77,8 @@ def _is_aside(tag: str, attrs: str, in_content: bool) -> bool:
 def tokens(page: str | None) -> list[tuple[str, str, int, bool]]:
     """(kind, text, words, in content) of the page's tokens in order; a tag has no words, and its text marks a new block.
 
-    Kinds: ``tag name`` for tags, ``text name``, ``link name`` or ``aside name`` for the text within an element.
+    Kinds: ``tag name`` for tags, ``open name`` for one that begins an aside, ``text name`` or ``link name`` for the text within an
+    element, and ``aside`` for all that an aside holds.
     """
     out: list[tuple[str, str, int, bool]] = []
     stack: list[tuple[str, bool, bool]] = []  # element, within an aside, within content
@@ -84,13 +87,13 @@ def tokens(page: str | None) -> list[tuple[str, str, int, bool]]:
     def text(piece: str) -> None:
         if not piece or piece.isspace():
             if piece:
-                out.append(("space", " ", 0, False))
+                out.append(("aside", " ", 0, False))
             return
         name, aside, content = stack[-1] if stack else ("", False, False)
         n = len(piece.split())
         link = any(s[0] == "a" for s in stack)
-        kind = "aside" if aside else "link" if link else "text"
-        out.append((f"{kind} {name}", piece, n, content and not aside))
+        kind = "aside" if aside else f"link {name}" if link else f"text {name}"
+        out.append((kind, piece, n, content and not aside))
 
     page = page or ""
     for m in _TOKEN.finditer(page):
@@ -98,11 +101,12 @@ def tokens(page: str | None) -> list[tuple[str, str, int, bool]]:
         at = m.end()
         tag = m["tag"]
         if not tag:
-            if m["raw"]:
-                out.append((f"tag {m['raw'].lower()}", "", 0, False))
+            if m["raw"] and not (stack and stack[-1][1]):
+                out.append((f"tag {m['raw'].lower()}", "", 0, bool(stack) and stack[-1][2]))
             continue
         tag = tag.lower()
         _, aside, content = stack[-1] if stack else ("", False, False)
+        kind = "aside" if aside else f"tag {tag}"
         if m["end"]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
@@ -110,12 +114,14 @@ def tokens(page: str | None) -> list[tuple[str, str, int, bool]]:
                     break
         elif tag not in _VOID and tag not in _OPTIONAL_END and not m["attrs"].rstrip().endswith("/"):
             own = tag in _CONTENT
-            stack.append((tag, (aside and not own) or _is_aside(tag, m["attrs"], content), content or own))
+            begins = not own and _is_aside(tag, m["attrs"], content)
+            stack.append((tag, aside and not own or begins, content or own))
+            kind = f"tag {tag}" if own else "aside" if aside else f"open {tag}" if begins else kind
         elif tag == "head":
             stack.append(("head", True, False))
         elif tag == "body":
             stack.clear()
-        out.append((f"tag {tag}", "\n" if tag in _BLOCKS else " " if tag == "br" else "", 0, content and not aside))
+        out.append((kind, "\n" if tag in _BLOCKS else " " if tag == "br" else "", 0, content and not aside))
     text(page[at:])
     return out
 
@@ -136,7 +142,7 @@ def learn(pages: DataFrame) -> dict[str, tuple[int, int]]:
                 if sum(k in ("tag article", "tag main") for k, *_ in found) not in (1, 2):
                     continue
                 for kind, _, n, content in found:
-                    if kind != "space":
+                    if kind != "aside":
                         (inside if content else outside)[_known(kind)] += n or 1
         kinds = sorted({*inside, *outside})
         yield pa.RecordBatch.from_arrays(
@@ -154,6 +160,9 @@ _STANDARD = _BLOCKS | _VOID | frozenset(
 ) | frozenset(_RAW.split("|"))
 
 
+_STRUCTURE = _BLOCKS - frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre article main".split())
+
+
 def _known(kind: str) -> str:
     group, _, name = kind.partition(" ")
     return f"{group} {name if name in _STANDARD else ''}"
@@ -170,8 +179,11 @@ class Scores(dict):
         kind = _known(kind)
         inside, outside = self.counts.get(kind, (0, 0))
         group = kind.partition(" ")[0]
-        share = (inside + WEIGHT * PRIOR.get(group, 0.5)) / (inside + outside + WEIGHT)
-        self[kind] = value = -TAG * (1 - share) - 0.01 if group == "tag" else share
+        prior = PRIOR_INLINE if group == "tag" and kind[4:] not in _STRUCTURE else PRIOR[group]
+        share = (inside + WEIGHT * prior) / (inside + outside + WEIGHT)
+        # an advert in the middle of an article is no reason to end it: an aside costs half a tag
+        cost = TAG * (1 - share) / (2 if group == "open" else 1)
+        self[kind] = value = share if group in ("text", "link") else -cost - 0.01
         return value
 
 
@@ -181,9 +193,9 @@ def main_text(page: str | None, scores: Scores) -> str:
     best = total = 0.0
     start = lo = hi = 0
     for i, (kind, _, n, _) in enumerate(found):
-        if kind == "space":
+        if kind == "aside":
             continue
-        value = scores[kind] if not n else 0.0 if kind[0] == "a" else n * scores[kind]
+        value = scores[kind] * (n or 1)
         if total <= 0:
             total, start = 0.0, i
         total += value
@@ -194,7 +206,7 @@ def main_text(page: str | None, scores: Scores) -> str:
         if piece == "\n" and not n:
             blocks.append(parts)
             parts = []
-        elif not n or kind[:5] != "aside":
+        elif not n or kind != "aside":
             parts.append(piece)
     lines = (" ".join(html.unescape("".join(b)).split()) for b in [*blocks, parts])
     return "\n".join(x for x in lines if x)
