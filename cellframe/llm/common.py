@@ -6,12 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
 #: Text is worked off in slices of about so many characters, so a worker's memory does not follow the batch size.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -49,6 +50,15 @@ def slices(texts: list[str | None], limit: int = SLICE_CHARS) -> Iterator[tuple[
         yield start, len(texts)
 
 
+def parts(batch: pa.RecordBatch, column: str | int, limit: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``limit`` bytes in a text column each, so that only so much becomes Python objects."""
+    size = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64)
+    group = (np.cumsum(size) - 1) // limit if len(size) else size
+    cuts = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(size) else size
+    for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(size)).tolist()):
+        yield batch.slice(a, b - a)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit words that spreads close values (the splitmix64 finaliser)."""
     x = x ^ (x >> np.uint64(30))
@@ -74,10 +84,8 @@ def with_columns(df: DataFrame, text: str, added: list[tuple[str, DataType]], fn
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(text).to_pylist()
-            for a, b in slices(texts):
-                part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns, *fn(texts[a:b])], [*part.schema.names, *names])
+            for part in parts(batch, text):
+                yield pa.RecordBatch.from_arrays([*part.columns, *fn(part.column(text).to_pylist())], [*part.schema.names, *names])
 
     return df.mapInArrow(run, schema)
 

@@ -95,9 +95,9 @@ def fit(train: DataFrame, sample: int = SAMPLE, model_rows: int = MODEL_ROWS) ->
     chosen = train.join(per, "lang").where(share * F.col("_docs") < sample).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in (p for batch in batches for p in common.parts(batch, 1)):
             own: dict[str, Counter] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 own.setdefault(lang, Counter()).update(words(text))
             for lang, c in own.items():
                 out: Counter = Counter()

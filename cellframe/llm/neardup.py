@@ -38,7 +38,7 @@ DEPTHS = (4, 6, 8, 11, 15, 20)
 LEAF = 32
 HOME = 256
 _BASE = 987_654_321_012_345_679
-_SLICE = 3_000_000
+_SLICE = 1_500_000
 
 
 def _multipliers() -> tuple[np.ndarray, np.ndarray]:
@@ -102,13 +102,12 @@ def sketch(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for lo, hi in common.slices(texts, _SLICE):
-                sets = shingle_sets(texts[lo:hi], hashes)
+            for part in common.parts(batch, 1, _SLICE):
+                sets = shingle_sets(part.column(1).to_pylist(), hashes)
                 some = [s for s in sets if len(s)]
                 signatures = iter(_signatures(some) if some else ())
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()),
+                    part.column(0), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([int(s.sum().view(np.int64)) if len(s) else 0 for s in sets], pa.int64()),
                     pa.array([int(common.mix(s).sum().view(np.int64)) if len(s) else 0 for s in sets], pa.int64()),
                     pa.array([next(signatures).tobytes() if len(s) else b"" for s in sets], pa.binary()),
@@ -185,10 +184,9 @@ def confirmed(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     def make_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            ts = batch.column(1).to_pylist()
-            for lo, hi in common.slices(ts, _SLICE):
-                sets = pa.array([s.tobytes() for s in shingle_sets(ts[lo:hi], hashes)], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), sets], ["doc", "members"])
+            for part in common.parts(batch, 1, _SLICE):
+                sets = pa.array([s.tobytes() for s in shingle_sets(part.column(1).to_pylist(), hashes)], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), sets], ["doc", "members"])
 
     sets = needed.join(texts.mapInArrow(make_sets, "doc bigint, members binary"), "doc").select(F.col("home").alias("place"), "doc", "members")
 

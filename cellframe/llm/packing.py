@@ -129,12 +129,11 @@ def pack(docs: DataFrame, path: str, pattern: str, end_id: int, length: int = LE
         counts: list[np.ndarray] = []
         held = 0
         for batch in batches:
-            texts, own = batch.column(1).to_pylist(), batch.column(0).to_pylist()
-            for a, b in common.slices(texts):
-                flat, n = encoder.encode(texts[a:b])
+            for part in common.parts(batch, 1):
+                flat, n = encoder.encode(part.column(1).to_pylist())
                 flats.append(np.insert(flat, np.cumsum(n), end_id))
                 counts.append(n + 1)
-                ids += own[a:b]
+                ids += part.column(0).to_pylist()
                 held += len(flats[-1])
                 if held >= batch_ids:
                     yield pack_batch(ids, np.concatenate(flats), np.concatenate(counts), length, end_id)

@@ -32,7 +32,7 @@ from cellframe.llm.registry import query
 WINDOW = 20
 _P = (1 << 61) - 1
 _BASES = (1_113_871_470_261_530_123, 842_502_087_349_201_907)
-_SLICE = 4_000_000
+_SLICE = 2_000_000
 _HASH_BYTES = 7
 _NO_ID = -(2 ** 63)
 
@@ -40,7 +40,7 @@ _NO_ID = -(2 ** 63)
 class WordHashes(dict):
     """64-bit hash of each word, remembered; forgets all when it holds ``limit`` words."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit = limit
 
@@ -137,10 +137,9 @@ def removed_spans(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id",
             return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(data, pa.binary())], ["bucket", "data"])
 
         for batch in batches:
-            ids = np.asarray(batch.column(0)).astype(np.int64)
-            texts = batch.column(1).to_pylist()
-            for lo, hi in common.slices(texts, _SLICE):
-                order = np.argsort(ids[lo:hi], kind="stable") + lo
+            for part in common.parts(batch, 1, _SLICE):
+                ids, texts = np.asarray(part.column(0)).astype(np.int64), part.column(1).to_pylist()
+                order = np.argsort(ids, kind="stable")
                 a, b, at, pos = _windows([texts[i] for i in order], hashes, window)
                 doc = ids[order][at]
                 by = np.argsort(a, kind="stable")

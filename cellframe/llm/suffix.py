@@ -36,7 +36,7 @@ GRAM = 32
 MEMORY = 1 << 25
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _PIECE = 500_000
-_SLICE = 4_000_000
+_SLICE = 2_000_000
 _NO_ID = -(2 ** 63)
 
 
@@ -143,11 +143,9 @@ def suspects(docs: DataFrame, length: int, gram: int, n: int) -> DataFrame:
             return _batch({"bucket": pa.array(keys, pa.int32()), "data": pa.array(data, pa.binary())})
 
         for batch in batches:
-            ids = np.asarray(batch.column(0)).astype(np.int64)
-            texts = [_bytes(t) for t in batch.column(1).to_pylist()]
-            for lo, hi in common.slices(texts, _SLICE):
-                h, t, a, b = _all_fragments(texts[lo:hi], length, gram)
-                doc = ids[lo:hi][t]
+            for part in common.parts(batch, 1, _SLICE):
+                h, t, a, b = _all_fragments([_bytes(x) for x in part.column(1).to_pylist()], length, gram)
+                doc = np.asarray(part.column(0)).astype(np.int64)[t]
                 by = np.argsort(h, kind="stable")
                 same = h[by[1:]] == h[by[:-1]]
                 twice = np.zeros(len(h), bool)  # the slice itself has the anchor again
@@ -227,25 +225,23 @@ def repeats(texts: DataFrame, length: int, gram: int, n: int, memory: int = MEMO
             })
 
         for batch in batches:
-            ids = np.asarray(batch.column(0)).astype(np.int64)
-            raw = [_bytes(t) for t in batch.column(1).to_pylist()]
-            wanted = batch.column(2).to_pylist()
-            for lo, hi in common.slices(raw, _SLICE):
-                h, t, a, b = _all_fragments(raw[lo:hi], length, gram)
+            for part in common.parts(batch, 1, _SLICE):
+                raw = [_bytes(x) for x in part.column(1).to_pylist()]
+                h, t, a, b = _all_fragments(raw, length, gram)
                 inside = np.zeros(len(t), bool)
-                cuts = np.searchsorted(t, np.arange(hi - lo + 1))
-                for k in range(hi - lo):
-                    spans = np.array(wanted[lo + k], np.int64)
+                cuts = np.searchsorted(t, np.arange(len(raw) + 1))
+                for k, found in enumerate(part.column(2).to_pylist()):
+                    spans = np.array(found, np.int64)
                     x, y = cuts[k], cuts[k + 1]
                     at = np.searchsorted(spans[::2], a[x:y], side="right") - 1
                     inside[x:y] = (at >= 0) & (b[x:y] <= spans[1::2][np.maximum(at, 0)])
                 h, t, a, b = h[inside], t[inside], a[inside], b[inside]
-                doc = ids[lo:hi][t]
+                doc = np.asarray(part.column(0)).astype(np.int64)[t]
                 order = np.lexsort((a, doc)).tolist()
                 seen: dict[bytes, int] = {}
                 later, kept = [], []
                 for i in order:
-                    c = raw[lo + t[i]][a[i]:b[i]]
+                    c = raw[t[i]][a[i]:b[i]]
                     j = seen.setdefault(c, i)
                     if j == i or (doc[i] == doc[j] and a[i] == a[j]):
                         kept.append((i, c))
