@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cellframe.functions.pvalues import chi2_p, normal_p, student_p
 from cellframe.operators.ranks import adjust, adjust_bounded, rank_sum_z, rank_sums
+from cellframe.session import store
 
 METHODS = ("wilcoxon", "t-test", "logreg")
 _EPS = 1e-9  # fixed value: keeps the fold change finite
@@ -106,9 +107,12 @@ def welch_scores(expr: DataFrame, cells: DataFrame, genes: DataFrame, group: str
 
 def logreg_scores(
     expr: DataFrame, cells: DataFrame, genes: DataFrame, group: str, value: str = "lognorm",
-    reg_param: float = 0.0, max_iter: int = 100,
+    c: float = 1.0, max_iter: int = 100,
 ) -> DataFrame:
-    """(group, gene_id, score): coefficients of a multinomial logistic regression on all genes."""
+    """(group, gene_id, score): coefficients of a multinomial logistic regression on all genes.
+
+    The squared coefficients are penalised with weight ``1 / c`` against the sum of the cells' losses, on the values as they are.
+    """
     from pyspark.ml.classification import LogisticRegression
 
     from cellframe.operators.embed import cell_vectors, index_genes
@@ -119,7 +123,9 @@ def logreg_scores(
     data = cell_vectors(expr, tagged.select("cell_id"), indexed, len(gene_list), value)
     code = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("group")) - 1
     train = data.join(tagged.withColumn("label", code.cast("double")), "cell_id").select("features", "label")
-    model = LogisticRegression(family="multinomial", regParam=reg_param, maxIter=max_iter).fit(train)
+    train = store(train)
+    penalty = 1.0 / (c * max(train.count(), 1))  # Spark's loss is the cells' mean
+    model = LogisticRegression(family="multinomial", regParam=penalty, standardization=False, maxIter=max_iter).fit(train)
     coef = model.coefficientMatrix.toArray()
     if len(names) == 2:  # two classes: the signed contrast, one row per class
         coef = [coef[0] - coef[1], coef[1] - coef[0]] if len(coef) == 2 else [-coef[0], coef[0]]

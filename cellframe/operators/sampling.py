@@ -55,7 +55,8 @@ def downsample_fraction(cells: DataFrame, fraction: float, seed: int = 0) -> Dat
 
 
 def downsample_per_sample(cells: DataFrame, n: int, seed: int = 0, sample: str = "sample") -> DataFrame:
-    """At most ``n`` cells of every sample; smaller samples stay whole."""
+    """At most ``n`` cells of every sample; smaller samples stay whole. Cells without a sample are a sample of their own."""
     if n < 1:
         raise ValueError("n must be positive")
-    return _keep_first(cells.where(F.col(sample).isNotNull()), sample, F.lit(n).cast("bigint"), seed)
+    named = cells.withColumn("_sample", F.to_json(F.struct(F.col(sample).alias("s"))))  # a null has a name, too
+    return _keep_first(named, "_sample", F.lit(n).cast("bigint"), seed).drop("_sample")

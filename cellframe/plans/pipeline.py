@@ -23,10 +23,23 @@ from cellframe.sources import manifest as mf
 from cellframe.sources import markers as mk
 
 
-def _target(spark: SparkSession, root: str, output: str | None, inplace: bool) -> str:
+#: Tables that hold results on the cells and genes of a normalised dataset.
+_DERIVED = ("pca", "pca_loadings", "pca_variance", "umap", "edges", "scores", "de")
+
+
+def _target(spark: SparkSession, root: str, output: str | None, inplace: bool, resume: bool = False, skip: tuple = ()) -> str:
+    """Where a stage writes. A new folder first gets the tables of ``root`` but for those in ``skip``, which the stage writes itself.
+
+    An existing folder is an error unless ``resume`` is on: then it is gone on with, and tables not yet copied are.
+    """
     target = params.output_target(root, output, inplace)
     if target != root:
-        ds.write_dataset(ds.open_dataset(spark, root), target)
+        there = ds.tables(spark, target) if ds.exists(spark, target) else []
+        if there and not resume:
+            raise FileExistsError(f"{target} exists")
+        for name, df in ds.open_dataset(spark, root).items():
+            if name not in there and name not in skip:
+                ds.write_table(df, target, name)
     return target
 
 
@@ -60,11 +73,15 @@ def normalize(
     spark: SparkSession, root: str, output: str | None = None, inplace: bool = False, min_genes: int = 100,
     min_cells: int = 3, n_top_genes: int = 2000, resume: bool = False,
 ) -> str:
-    """QC columns, cell and gene filters, depth scaling with log1p, variable genes."""
-    target = _target(spark, root, output, inplace)
+    """QC columns and top-gene shares, cell and gene filters, depth scaling with log1p, variable genes.
+
+    Results of later stages on the old cells are dropped.
+    """
+    own = ("cells", "genes", "expr")
+    target = _target(spark, root, output, inplace, resume, skip=(*own, *_DERIVED))
     if resume and _has(spark, target, "expr", "lognorm"):
         return target
-    parts = ds.open_dataset(spark, target, ["cells", "genes", "expr"])
+    parts = ds.open_dataset(spark, root, list(own))
     flagged = qc.flag_genes(parts["genes"].select("gene_id").distinct())
     raw = parts["expr"].select("cell_id", "gene_id", "value")
     cells = _with_columns(parts["cells"], qc.cell_qc(raw, parts["cells"]))
@@ -78,6 +95,7 @@ def normalize(
     ds.write_table(genes.join(flags.select("gene_id", "dispersions_norm", "highly_variable"), "gene_id"), target, "genes")
     ds.write_table(cells, target, "cells")
     ds.write_table(expr, target, "expr")
+    ds.drop_tables(spark, target, list(_DERIVED))
     return target
 
 
@@ -87,7 +105,7 @@ def cluster(
 ) -> str:
     """PCA of the variable genes, neighbour graph, 2-D layout and communities at several resolutions."""
     wanted = params.parse_resolutions(resolutions)
-    target = _target(spark, root, output, inplace)
+    target = _target(spark, root, output, inplace, resume)
     parts = ds.open_dataset(spark, target, ["cells", "genes", "expr"])
     if not (resume and _has(spark, target, "pca")):
         chosen = parts["genes"].where("highly_variable") if "highly_variable" in parts["genes"].columns else parts["genes"]
@@ -123,7 +141,7 @@ def quantitate(
     """Scores of a marker list and/or named resources, stored under ``score_<method>_<name>``."""
     if not markers and not names:
         raise ValueError("give a marker list, resource names, or both")
-    target = _target(spark, root, output, inplace)
+    target = _target(spark, root, output, inplace, resume)
     parts = ds.open_dataset(spark, target, ["cells", "genes", "expr"])
     mask = qc.filter_by_equality(parts["cells"], cell_filter) if cell_filter else None
     nets = {}
@@ -156,10 +174,10 @@ def read_scores(spark: SparkSession, root: str, score_key: str) -> DataFrame:
 def assign(
     spark: SparkSession, root: str, score_key: str, output: str | None = None, inplace: bool = False,
     cluster_keys: list[str] | None = None, annotation_key: str | None = None, strategy: str = "top_positive",
-    rank: bool = False, method: str = "wilcoxon", resume: bool = False,
+    rank: bool = True, method: str = "wilcoxon", resume: bool = False,
 ) -> str:
-    """Label every cluster column (default: all resolutions) by scores; optionally rank marker genes."""
-    target = _target(spark, root, output, inplace)
+    """Label every cluster column (default: all resolutions) by scores, and rank their marker genes unless told not to."""
+    target = _target(spark, root, output, inplace, resume)
     cells = ds.read_table(spark, target, "cells")
     keys = cluster_keys or [c for c in cells.columns if params.resolution_of(c) is not None]
     if not keys:
@@ -211,7 +229,7 @@ def spatial_neighbors(
     key: str = "spatial", resume: bool = False,
 ) -> str:
     """Spatial graph over the cell coordinates, stored under ``key``."""
-    target = _target(spark, root, output, inplace)
+    target = _target(spark, root, output, inplace, resume)
     if resume and _has(spark, target, f"edges/graph_key={key}"):
         return target
     cells = ds.read_table(spark, target, "cells")
@@ -227,18 +245,19 @@ def spatial_neighbors(
 def spatial_cluster(
     spark: SparkSession, root: str, cell_type: str, output: str | None = None, inplace: bool = False, graph_key: str = "spatial",
     neighbor_k: int = 0, method: str = "kmeans", include_self: bool = True, min_clusters: int = 2, max_clusters: int = 20,
-    force_n_clusters: int | None = None, n_init: int = 10, seed: int = 0, column: str = "spatial_cluster",
+    normalize: bool = True, library: str | None = None, force_n_clusters: int | None = None, n_init: int = 10, seed: int = 0, column: str = "spatial_cluster",
     resume: bool = False, **hdbscan_options,
 ) -> str:
     """Cluster cells by the cell types around them; k-means sweep or density clustering.
 
-    Without a stored graph, one with ``neighbor_k`` neighbours is built if that is positive.
+    Without a stored graph, one with ``neighbor_k`` neighbours (within each ``library``) is built if that is positive. Without
+    ``normalize`` cells are clustered by counts instead of shares.
     """
     if method not in ("kmeans", "hdbscan"):
         raise ValueError("method is 'kmeans' or 'hdbscan'")
     if force_n_clusters is not None and method != "kmeans":
         raise ValueError("force_n_clusters applies to k-means only")
-    target = _target(spark, root, output, inplace)
+    target = _target(spark, root, output, inplace, resume)
     cells = ds.read_table(spark, target, "cells")
     if resume and column in cells.columns:
         return target
@@ -247,9 +266,9 @@ def spatial_cluster(
     if not _has(spark, target, f"edges/graph_key={graph_key}"):
         if neighbor_k <= 0:
             raise ValueError(f"no spatial graph {graph_key!r}; run spatial_neighbors or pass neighbor_k")
-        spatial_neighbors(spark, target, inplace=True, n_neighs=neighbor_k, key=graph_key, coord_type="generic")
+        spatial_neighbors(spark, target, inplace=True, n_neighs=neighbor_k, library=library, key=graph_key, coord_type="generic")
     edges = ds.read_table(spark, target, "edges").where(F.col("graph_key") == graph_key)
-    composed = store(neighborhood.composition(edges, cells, cell_type, include_self))
+    composed = store(neighborhood.composition(edges, cells, cell_type, include_self, normalize))
     vectors = store(neighborhood.composition_vectors(composed, cells, neighborhood.categories(cells, cell_type)))
     if method == "kmeans":
         out = kmeans.kmeans_sweep(vectors, min_clusters, max_clusters, force_n_clusters, n_init, seed)

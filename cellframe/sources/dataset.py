@@ -12,6 +12,10 @@ from cellframe.sources.manifest import attach_metadata, concat_samples, list_sam
 
 REQUIRED_TABLE = "cells"
 
+# The instrument's least transcript quality, and its names of control features.
+MIN_QV = 20.0
+CONTROL_FEATURES = "^(NegControl|BLANK|Blank|antisense_|UnassignedCodeword|DeprecatedCodeword|Intergenic_)"
+
 
 def _fs(spark: SparkSession, path: str):
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -75,14 +79,26 @@ def write_table(df: DataFrame, root: str, name: str, partition_by: list[str] | N
 
 
 def write_dataset(parts: dict[str, DataFrame], root: str, overwrite: bool = False) -> None:
-    """Write several tables. An existing dataset is an error unless ``overwrite``."""
+    """Write several tables. An existing dataset is an error unless ``overwrite``, which replaces all of it.
+
+    Tables of the old dataset that are not among ``parts`` go once the new ones are written.
+    """
     if not parts:
         raise ValueError("no tables to write")
     spark = next(iter(parts.values())).sparkSession
     if exists(spark, root) and not overwrite:
         raise FileExistsError(f"{root} exists; pass overwrite=True to replace its tables")
+    old = tables(spark, root) if exists(spark, root) else []
     for name, df in parts.items():
         write_table(df, root, name)
+    drop_tables(spark, root, [name for name in old if name not in parts])
+
+
+def drop_tables(spark: SparkSession, root: str, names: list[str]) -> None:
+    """Delete the named tables, those that exist."""
+    for name in names:
+        fs, target = _fs(spark, f"{root}/{name}")
+        fs.delete(target, True)
 
 
 def update_partitions(df: DataFrame, root: str, name: str, by: list[str]) -> None:
@@ -90,10 +106,11 @@ def update_partitions(df: DataFrame, root: str, name: str, by: list[str]) -> Non
     df.write.option("partitionOverwriteMode", "dynamic").partitionBy(*by).mode("overwrite").parquet(f"{root}/{name}")
 
 
-def read_instrument_folder(spark: SparkSession, path: str, min_qv: float | None = None) -> dict[str, DataFrame]:
+def read_instrument_folder(spark: SparkSession, path: str, min_qv: float | None = MIN_QV) -> dict[str, DataFrame]:
     """Raw sample folder: ``cells`` and ``transcripts`` (Parquet, else CSV) -> cells, genes and counts.
 
-    Counts are one partial aggregate over transcripts; transcripts outside cells are left out.
+    Counts are one partial aggregate over transcripts. Transcripts outside cells, below the quality ``min_qv`` (where the
+    table has a quality) and of control features are left out, as in the instrument's own matrix.
     """
     if not exists(spark, path):
         raise FileNotFoundError(f"no sample folder at {path}")
@@ -114,12 +131,14 @@ def read_instrument_folder(spark: SparkSession, path: str, min_qv: float | None
     )
     spots = read("transcripts")
     inside = ~F.col("cell_id").cast("string").isin("UNASSIGNED", "-1")
+    gene = ~F.col("feature_name").rlike(CONTROL_FEATURES)
+    inside = inside & gene
     if min_qv is not None and "qv" in spots.columns:
         inside = inside & (F.col("qv") >= min_qv)
     expr = spots.where(inside).groupBy(
         F.col("cell_id").cast("string").alias("cell_id"), F.col("feature_name").alias("gene_id")
     ).agg(F.count("*").cast("double").alias("value"))
-    genes = spots.select(F.col("feature_name").alias("gene_id")).distinct()
+    genes = spots.where(gene).select(F.col("feature_name").alias("gene_id")).distinct()
     return {"cells": cells, "genes": genes, "expr": expr}
 
 

@@ -327,10 +327,12 @@ def downsample_fraction(spark, sf):
 
 
 @query("downsample_per_sample", """
-SELECT o_orderkey AS cell_id, o_orderpriority AS sample FROM orders
-QUALIFY row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5('7-' || o_orderkey), o_orderkey) <= 500""")
+WITH o AS (SELECT o_orderkey AS cell_id, nullif(o_orderpriority, '2-HIGH') AS sample FROM orders)
+SELECT cell_id, sample FROM o QUALIFY row_number() OVER (PARTITION BY sample ORDER BY md5('7-' || cell_id), cell_id) <= 500""")
 def downsample_per_sample(spark, sf):
-    rows = t.table(spark, sf, "orders").select(F.col("o_orderkey").alias("cell_id"), F.col("o_orderpriority").alias("sample"))
+    """One of the samples has no name."""
+    sample = F.nullif(F.col("o_orderpriority"), F.lit("2-HIGH")).alias("sample")
+    rows = t.table(spark, sf, "orders").select(F.col("o_orderkey").alias("cell_id"), sample)
     return sampling.downsample_per_sample(rows, 500, seed=7)
 
 

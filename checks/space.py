@@ -138,7 +138,7 @@ comp AS (SELECT cell_id, cell_type, n / sum(n) OVER (PARTITION BY cell_id) AS sh
 
 
 def composed(spark, sf):
-    return neighborhood.composition(radius_edges(spark, sf), t.points(spark, sf))
+    return neighborhood.composition(radius_edges(spark, sf), t.points(spark, sf), unique_edges=True)
 
 
 @query("neighborhood_composition", "WITH" + POINTS + "," + RADIUS + "," + COMPOSED + """
@@ -168,8 +168,9 @@ def neighborhood_vectors(spark, sf):
 
 @query("cluster_composition", "WITH" + POINTS + "," + RADIUS + "," + COMPOSED + """,
 n AS (SELECT library AS cluster, count(*) AS n FROM pts GROUP BY 1)
-SELECT p.library AS cluster, c.cell_type, round(sum(share) / any_value(n.n), 9) AS mean_share
-FROM comp c JOIN pts p USING (cell_id) JOIN n ON n.cluster = p.library GROUP BY 1, 2""")
+SELECT n.cluster, ty.cell_type, round(coalesce(sum(share), 0) / any_value(n.n), 9) AS mean_share
+FROM n CROSS JOIN (SELECT DISTINCT cell_type FROM comp) ty LEFT JOIN pts p ON n.cluster = p.library
+  LEFT JOIN comp c ON c.cell_id = p.cell_id AND c.cell_type = ty.cell_type GROUP BY 1, 2""")
 def cluster_composition(spark, sf):
     clusters = t.points(spark, sf).select("cell_id", F.col("library").alias("cluster"))
     return neighborhood.cluster_composition(composed(spark, sf), clusters).select("cluster", "cell_type", r6("mean_share", digits=9))

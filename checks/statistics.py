@@ -125,9 +125,9 @@ def top_de_dot_table(spark, sf):
 
 @query("marker_dot_table", S.with_(*LOGNORM, S.NET, EVERYONE) + """
 SELECT source, gene_id, grp AS "group", round(s1 / n1, 6) AS mean_expression, round(k1 / n1, 6) AS fraction_expressing
-FROM m JOIN net ON gene_id = target WHERE k > 0""")
+FROM m JOIN net ON gene_id = target""")
 def marker_dot_table(spark, sf):
-    out = summaries.dot_table(lognorm(spark, sf), t.cells(spark, sf), t.net(spark, sf), "cluster")
+    out = summaries.dot_table(lognorm(spark, sf), t.cells(spark, sf), t.net(spark, sf), "cluster", genes=t.genes(spark, sf))
     return out.select("source", "gene_id", "group", r6("mean_expression"), r6("fraction_expressing"))
 
 
@@ -252,11 +252,25 @@ def chi_square_yates(spark, sf):
 
 
 @query("crosstab", S.with_(S.CELLS) + """
-SELECT cluster AS "row", sample AS "column", count(*) AS n_cells FROM cells GROUP BY 1, 2""")
+SELECT "row", "column", count(cell_id) AS n_cells
+FROM (SELECT DISTINCT cluster AS "row" FROM cells) CROSS JOIN (SELECT DISTINCT sample AS "column" FROM cells)
+  LEFT JOIN cells ON cluster = "row" AND sample = "column" GROUP BY 1, 2""")
 def crosstab(spark, sf):
     return summaries.crosstab(t.cells(spark, sf), "cluster", "sample")
 
 
+@query("crosstab_sparse", """
+WITH c AS (SELECT c_custkey AS cell_id, c_nationkey::VARCHAR AS r, CASE WHEN c_acctbal < 0 THEN c_nationkey % 7 ELSE 9 END::VARCHAR AS k FROM customer)
+SELECT "row", "column", count(cell_id) AS n_cells FROM (SELECT DISTINCT r AS "row" FROM c) CROSS JOIN (SELECT DISTINCT k AS "column" FROM c)
+  LEFT JOIN c ON r = "row" AND k = "column" GROUP BY 1, 2""")
+def crosstab_sparse(spark, sf):
+    """Most pairs of the two attributes do not occur."""
+    nation = F.col("c_nationkey")
+    kind = F.when(F.col("c_acctbal") < 0, nation % 7).otherwise(9).cast("string")
+    rows = t.table(spark, sf, "customer").select(F.col("c_custkey").alias("cell_id"), nation.cast("string").alias("r"), kind.alias("k"))
+    return summaries.crosstab(rows, "r", "k")
+
+
 @query("noise_statistics", """
 SELECT count(DISTINCT l) FILTER (l <> -1) AS n_clusters, count(*) FILTER (l = -1) AS n_noise,
   round(count(*) FILTER (l = -1) / count(*), 6) AS noise_fraction

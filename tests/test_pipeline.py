@@ -125,3 +125,61 @@ def test_table_replaces_itself(spark, tmp_path):
     ds.write_dataset({"genes": spark.range(1)}, str(tmp_path / "no_cells"))
     with pytest.raises(ValueError, match="cells"):
         ds.open_dataset(spark, str(tmp_path / "no_cells"))
+
+
+def _vectors(spark, partitions):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(6, 4)) * 8
+    rows = [(i, [float(v) for v in centres[i % 6] + rng.normal(size=4)]) for i in range(900)]
+    return spark.createDataFrame(rows, "cell_id long, vector array<double>").repartition(partitions, "cell_id")
+
+
+def test_kmeans_does_not_depend_on_partitions(spark):
+    from cellframe.operators.kmeans import kmeans_sweep
+
+    runs = []
+    for n in (4, 7):
+        out = kmeans_sweep(_vectors(spark, n), 2, 8, n_init=3, seed=3)
+        sweep = [(r["n_clusters"], round(r["inertia"], 6), round(r["silhouette"], 9), r["selected"]) for r in out["sweep"].orderBy("n_clusters").collect()]
+        runs.append((sweep, sorted(map(tuple, out["labels"].collect()))))
+    assert runs[0] == runs[1]
+    assert [k for k, *_, chosen in runs[0][0] if chosen] == [6]
+
+
+def test_resume_with_output_and_clean_overwrite(spark, tmp_path):
+    from cellframe.plans import pipeline as p
+    from cellframe.sources import dataset as ds
+
+    rng = np.random.default_rng(2)
+    expr = spark.createDataFrame(
+        [(f"c{i}", f"g{j}", float(v)) for i in range(20) for j in range(30) if (v := rng.poisson(2))],
+        "cell_id string, gene_id string, value double",
+    )
+    cells = spark.createDataFrame([(f"c{i}", "s") for i in range(20)], "cell_id string, sample string")
+    genes = spark.createDataFrame([(f"g{j}",) for j in range(30)], "gene_id string")
+    parts = {"cells": cells, "genes": genes, "expr": expr}
+    first, second = str(tmp_path / "a"), str(tmp_path / "b")
+    ds.write_dataset({**parts, "umap": cells, "notes": cells}, first)
+    p.normalize(spark, first, output=second, min_genes=1, min_cells=1)
+    assert ds.tables(spark, second) == ["cells", "expr", "genes", "notes"]  # results on the old cells stay behind
+    p.normalize(spark, first, output=second, min_genes=1, min_cells=1, resume=True)
+    with pytest.raises(FileExistsError):
+        p.normalize(spark, first, output=second, min_genes=1, min_cells=1)
+    ds.write_dataset(parts, first, overwrite=True)
+    assert ds.tables(spark, first) == ["cells", "expr", "genes"]
+
+
+def test_markers_without_expression_keep_their_rows(spark):
+    from cellframe.operators import neighborhood, sampling, summaries
+
+    expr = spark.createDataFrame([("c0", "g0", 1.0), ("c1", "g0", 3.0)], "cell_id string, gene_id string, lognorm double")
+    cells = spark.createDataFrame([("c0", "x"), ("c1", "y"), ("c2", None)], "cell_id string, kind string")
+    genes = spark.createDataFrame([("g0",), ("g2",)], "gene_id string")
+    net = spark.createDataFrame([("T", "g0"), ("T", "g2"), ("T", "absent")], "source string, target string")
+    got = {tuple(r) for r in summaries.dot_table(expr, cells, net, "kind", genes=genes).collect()}
+    assert got == {("T", "g0", "x", 1.0, 1.0), ("T", "g0", "y", 3.0, 1.0), ("T", "g2", "x", 0.0, 0.0), ("T", "g2", "y", 0.0, 0.0)}
+    assert sampling.downsample_per_sample(cells, 5, sample="kind").count() == 3
+    composed = spark.createDataFrame([("c0", "A", 1.0), ("c1", "B", 1.0)], "cell_id string, cell_type string, share double")
+    clusters = spark.createDataFrame([("c0", "1"), ("c1", "2"), ("c2", "3")], "cell_id string, cluster string")
+    means = {tuple(r) for r in neighborhood.cluster_composition(composed, clusters).collect()}
+    assert means == {("1", "A", 1.0), ("1", "B", 0.0), ("2", "A", 0.0), ("2", "B", 1.0), ("3", "A", 0.0), ("3", "B", 0.0)}
