@@ -24,16 +24,19 @@ from pyspark.sql.types import DoubleType, StringType
 
 from cellframe.llm import common
 from cellframe.llm.registry import query
+from cellframe.session import store
 
 #: Training documents per language, about.
 SAMPLE = 1500
 #: Characters of the longest and the shortest n-grams of the backoff.
 LONGEST = 5
 #: Kept words and n-grams of a model at most, the most frequent first.
-MODEL_ROWS = 400_000
+MODEL_ROWS = 150_000
 #: What is added to every count.
 ALPHA = 0.5
 REMEMBERED = 200_000
+#: Up to so many languages their document counts are broadcast.
+BROADCAST_LANGUAGES = 10_000
 UNDETERMINED = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -90,8 +93,10 @@ class Model:
 
 def fit(train: DataFrame, sample: int = SAMPLE, model_rows: int = MODEL_ROWS) -> Model:
     """A model of ``train`` (doc_id, text, lang: not null). No rows, no languages."""
-    per = train.where("text is not null").groupBy("lang").agg(F.count("*").alias("_docs"))
+    per = store(train.where("text is not null").groupBy("lang").agg(F.count("*").alias("_docs")))
     share = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    if per.count() <= BROADCAST_LANGUAGES:  # a few numbers; a join by language would gather most texts in a few tasks
+        per = F.broadcast(per)
     chosen = train.join(per, "lang").where(share * F.col("_docs") < sample).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
