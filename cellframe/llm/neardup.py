@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellframe.llm import common
+from cellframe.llm import common, oracles
 from cellframe.llm.components import components
 from cellframe.llm.registry import query
 from cellframe.llm.substring import WordHashes, rabin_karp
@@ -235,6 +235,6 @@ def keep_first(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
-@query("op5_minhash_forest")
+@query("op5_minhash_forest", oracles.NEAR_DUPLICATES)
 def op5_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(common.documents(spark, sf_dir))

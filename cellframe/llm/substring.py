@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from cellframe.llm import common, packets
+from cellframe.llm import common, oracles, packets
 from cellframe.llm.registry import query
 
 WINDOW = 20
@@ -280,6 +280,6 @@ def digests(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return joined.mapInArrow(run, schema)
 
 
-@query("op8_substring_dedup")
+@query("op8_substring_dedup", oracles.SUBSTRING)
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(common.documents(spark, sf_dir))

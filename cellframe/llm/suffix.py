@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellframe.llm import common, packets
+from cellframe.llm import common, oracles, packets
 from cellframe.llm.induced import END, equal_classes
 from cellframe.llm.registry import query
 from cellframe.session import store
@@ -331,6 +331,6 @@ def digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, memory: int
     return out.withColumn("doc_id", F.when(~F.col("anonymous"), F.col("doc_id"))).drop("anonymous")
 
 
-@query("op2_suffix_dedup")
+@query("op2_suffix_dedup", oracles.SUFFIX)
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(common.documents(spark, sf_dir))
