@@ -198,9 +198,12 @@ def train(counts: DataFrame) -> Mixture:
                     r2 = np.where(context > 1, np.log2((two - 1) / (context - 1)) + np.log2(distinct + 1.0), -np.inf)
                 # -100: the estimate is 0
                 q1, q2 = (np.where(np.isfinite(r), np.round(np.nan_to_num(r, neginf=0.0) / _STEP), -400) for r in (r1, r2))
-                parts.append(np.stack([_bucket(context - 1), q2, q1]).astype(np.int64))
-            cells, n = np.unique(np.concatenate(parts, axis=1), axis=1, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*cells, n)], ["bucket", "q2", "q1", "n"])
+                cell = (_bucket(context - 1).astype(np.int64) << 24) + ((q2.astype(np.int64) + 2048) << 12) + q1.astype(np.int64) + 2048
+                parts.append(cell)
+            if parts:
+                cell, n = np.unique(np.concatenate(parts), return_counts=True)
+                cells = (cell >> 24, (cell >> 12 & 4095) - 2048, (cell & 4095) - 2048)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*cells, n)], ["bucket", "q2", "q1", "n"])
 
     training = counts.where((F.col("kind") == 0) & ~F.col("held_out")).select("n_tokens", "counts")
     cells = training.mapInArrow(histogram, "bucket bigint, q2 bigint, q1 bigint, n bigint")
