@@ -74,43 +74,46 @@ def _counts(docs: DataFrame, held_out: Column) -> DataFrame:
         part = int(group["part"].iloc[0])
         group, x, pairs, row = _tokens(group)
         training = (~group["held_out"].to_numpy(bool))[row]
-        out = []
+        columns = {}
         for kind, keys in ((_UNIGRAM, x), (_BIGRAM, pairs)):
             bits, cuts, place, _ = _distinct(keys, n)
             count = np.bincount(place[training], minlength=len(bits))
-            out += [
-                (b, kind, part, packets.planes(bits[a:z], _HASH_BYTES) + packets.planes(count[a:z], 4))
-                for b, (a, z) in enumerate(zip(cuts, cuts[1:])) if z > a
+            columns[kind] = [
+                packets.planes(bits[a:z], _HASH_BYTES) + packets.planes(count[a:z], 4) for a, z in zip(cuts, cuts[1:])
             ]
-        return pd.DataFrame(out, columns=["bucket", "kind", "part", "data"])
+        return pd.DataFrame({"bucket": np.arange(n), "part": part, "unigrams": columns[_UNIGRAM], "bigrams": columns[_BIGRAM]})
 
-    def answer(bucket: pd.DataFrame) -> pd.DataFrame:
-        number, kind = int(bucket["bucket"].iloc[0]), int(bucket["kind"].iloc[0])
-        sizes = bucket["data"].map(len).to_numpy() // (_HASH_BYTES + 4)
-        views = [memoryview(d) for d in bucket["data"]]
+    def add_up(messages: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+        """Each message's training counts summed over all messages, and the sums of the distinct hashes."""
+        sizes = np.array([len(d) for d in messages]) // (_HASH_BYTES + 4)
+        views = [memoryview(d) for d in messages]
         bits = np.concatenate([packets.from_planes(v[: k * _HASH_BYTES], k, _HASH_BYTES) for v, k in zip(views, sizes)])
         count = np.concatenate([packets.from_planes(v[k * _HASH_BYTES:], k, 4) for v, k in zip(views, sizes)])
         distinct, inverse = np.unique(bits, return_inverse=True)
         total = np.bincount(inverse, weights=count.astype(float), minlength=len(distinct)).astype(np.uint64)
-        found = np.split(total[inverse], np.cumsum(sizes)[:-1])
-        out = [(int(p), kind, number, packets.planes(f, 5)) for p, f in zip(bucket["part"], found)]
-        if kind == _UNIGRAM:
-            stats = np.array([total.sum(), np.count_nonzero(total)], "<u8").tobytes()
-            out.append((int(bucket["part"].iloc[0]), _TOTALS, number, stats))
-        return pd.DataFrame(out, columns=["to", "kind", "bucket", "data"])
+        return [packets.planes(f, 5) for f in np.split(total[inverse], np.cumsum(sizes)[:-1])], total
+
+    def answer(bucket: pd.DataFrame) -> pd.DataFrame:
+        number, parts = int(bucket["bucket"].iloc[0]), bucket["part"].tolist()
+        unigrams, total = add_up(bucket["unigrams"].tolist())
+        bigrams, _ = add_up(bucket["bigrams"].tolist())
+        out = [(int(p), 0, number, u, g) for p, u, g in zip(parts, unigrams, bigrams)]
+        stats = np.array([total.sum(), np.count_nonzero(total)], "<u8").tobytes()
+        out.append((int(parts[0]), _TOTALS, number, stats, b""))
+        return pd.DataFrame(out, columns=["to", "kind", "bucket", "unigrams", "bigrams"])
 
     def collect(group: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         columns = ["kind", "doc_id", "held_out", "n_tokens", "n_known", "logs", "counts"]
-        stats = [np.frombuffer(d, "<u8") for d in answers.loc[answers["kind"] == _TOTALS, "data"]]
+        stats = [np.frombuffer(d, "<u8") for d in answers.loc[answers["kind"] == _TOTALS, "unigrams"]]
         out = [(_TOTALS, None, None, int(s[0]), int(s[1]), None, None) for s in stats]
         if len(group):
             group, x, pairs, row = _tokens(group)
             both = []
-            for kind, keys in ((_UNIGRAM, x), (_BIGRAM, pairs)):
+            mine = answers[answers["kind"] == 0]
+            for column, keys in (("unigrams", x), ("bigrams", pairs)):
                 bits, cuts, place, _ = _distinct(keys, n)
                 total = np.zeros(len(bits), np.int64)
-                mine = answers[answers["kind"] == kind]
-                for b, d in zip(mine["bucket"], mine["data"]):
+                for b, d in zip(mine["bucket"], mine[column]):
                     total[cuts[b]:cuts[b + 1]] = packets.from_planes(memoryview(d), cuts[b + 1] - cuts[b], 5).astype(np.int64)
                 both.append(total[place])
             one, two = both
@@ -123,8 +126,8 @@ def _counts(docs: DataFrame, held_out: Column) -> DataFrame:
             out += zip([0] * len(ids), ids, group["held_out"].astype(bool), size.tolist(), known.tolist(), logs.tolist(), data)
         return pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64", "held_out": "boolean"})
 
-    asked = rows.groupBy("part").applyInPandas(ask, "bucket int, kind int, part int, data binary")
-    answers = asked.groupBy("bucket", "kind").applyInPandas(answer, "to int, kind int, bucket int, data binary")
+    asked = rows.groupBy("part").applyInPandas(ask, "bucket int, part int, unigrams binary, bigrams binary")
+    answers = asked.groupBy("bucket").applyInPandas(answer, "to int, kind int, bucket int, unigrams binary, bigrams binary")
     return rows.groupBy("part").cogroup(answers.groupBy("to")).applyInPandas(
         collect, "kind int, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, logs double, counts binary"
     )
