@@ -13,19 +13,6 @@ sums AS (SELECT doc_id, count(*) AS n_words, sum(g)::BIGINT AS n_removed, string
 SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM documents LEFT JOIN sums USING (doc_id)"""
 
-SUFFIX = """
-WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-places AS (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS p FROM bytes),
-seen AS (SELECT doc_id, p, substr(h, 2 * p + 1, 2) AS b, 2 * p + 200 <= length(h)
-  AND row_number() OVER (PARTITION BY 2 * p + 200 <= length(h), md5(substr(h, 2 * p + 1, 200)) ORDER BY doc_id, p) > 1 AS again FROM places),
-gone AS (SELECT doc_id, p, b, max(again::INT) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS g FROM seen),
-runs AS (SELECT *, g = 1 AND coalesce(lag(g) OVER (PARTITION BY doc_id ORDER BY p), 0) = 0 AS first FROM gone),
-sums AS (SELECT doc_id, count(*) AS n_bytes, sum(g)::BIGINT AS n_removed, count(*) FILTER (first) AS n_spans,
-  string_agg(b, '' ORDER BY p) FILTER (g = 0) AS kept FROM runs GROUP BY 1)
-SELECT doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-  sha256(unhex(coalesce(kept, ''))) AS kept_sha256
-FROM documents LEFT JOIN sums USING (doc_id)"""
-
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 NEAR_DUPLICATES = "WITH RECURSIVE" + WORDS.format(text=_LOWER) + """,
 windows AS (SELECT doc_id, k, string_agg(word, ' ') OVER w AS s, count(*) OVER w AS n, count(*) OVER (PARTITION BY doc_id) AS all_words FROM words

@@ -3,7 +3,7 @@ import pytest
 from checks.compare import compare, connect
 
 
-@pytest.mark.parametrize("name", ["op2_suffix_dedup", "op5_minhash_forest", "op8_substring_dedup"])
+@pytest.mark.parametrize("name", ["op5_minhash_forest", "op8_substring_dedup"])
 def test_matches_sql(spark, sf_small, name):
     from cellframe.llm.queries import ORACLES, QUERIES
 
