@@ -24,11 +24,12 @@ def gene_class(gene: Column, name: str) -> Column:
 
 
 def value_bin(value: Column, per_octave: int = 64) -> Column:
-    """Monotone integer bin of a value, ``per_octave`` bins for each doubling of ``1 + |value|``.
+    """Monotone integer bin of a value: ``per_octave`` bins for each doubling of its size, however small it is; 0 for 0.
 
     Ordered work on one hot key is split over these bins: order inside a bin, running totals over bins.
     """
-    return (F.signum(value) * F.floor(F.log2(1 + F.abs(value)) * per_octave)).cast("int")
+    size = F.floor((F.log2(F.abs(value)) + 1100) * per_octave) + 1  # doubles go down to 2^-1074
+    return F.when(value > 0, size).when(value < 0, -size).otherwise(0).cast("int")
 
 
 def hash_order(seed: int, *ids: Column) -> Column:

@@ -28,6 +28,12 @@ def check_groups(cells: DataFrame, group: str, compare: list[str] | None) -> Non
         raise ValueError(f"groups {missing} not found in {group!r}; available: {some}")
 
 
+def keep_groups(cells: DataFrame, group: str, compare: list[str]) -> DataFrame:
+    """Cells of the two groups of a comparison, which must both exist."""
+    check_groups(cells, group, compare)
+    return cells.where(F.col(group).isin(compare))
+
+
 def _by_group(expr: DataFrame, cells: DataFrame, genes: DataFrame, group: str, value: str, ranks: bool) -> DataFrame:
     """(gene, group) rows for all combinations, with sums inside the group and over all cells.
 

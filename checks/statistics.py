@@ -286,5 +286,4 @@ def noise_statistics(spark, sf):
 def keep_two_groups(spark, sf):
     assert parse_equality("status == ASIA") == ("status", "ASIA")
     cells = t.cells(spark, sf)
-    de.check_groups(cells, "status", ["ASIA", "EUROPE"])
-    return cells.where(F.col("status").isin("ASIA", "EUROPE")).select("cell_id", "status")
+    return de.keep_groups(cells, "status", ["ASIA", "EUROPE"]).select("cell_id", "status")
