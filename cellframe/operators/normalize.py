@@ -34,7 +34,6 @@ def gene_dispersion(
     All windows run over the gene table, never over cells.
     """
     tagged = cells.select("cell_id", (F.col(batch) if batch else F.lit("all")).alias("batch"))
-    sizes = tagged.groupBy("batch").agg(F.count("*").alias("_n"))
     lin = F.expm1("lognorm")
     source = expr.join(tagged, "cell_id") if batch else expr.withColumn("batch", F.lit("all"))
     sums = source.groupBy("batch", "gene_id").agg(F.sum(lin).alias("_s1"), F.sum(lin * lin).alias("_s2"))
@@ -43,7 +42,11 @@ def gene_dispersion(
     mean = F.coalesce("_s1", F.lit(0.0)) / F.col("_n")
     var = (F.coalesce("_s2", F.lit(0.0)) - F.col("_n") * mean * mean) / (F.col("_n") - 1)
     ratio = F.greatest(var, F.lit(0.0)) / F.when(mean == 0, F.lit(1e-12)).otherwise(mean)
-    base = sums.join(sizes, "batch").select(
+    if batch:
+        sized = sums.join(tagged.groupBy("batch").agg(F.count("*").alias("_n")), "batch")
+    else:
+        sized = sums.withColumn("_n", cells.agg(F.count("*")).scalar())
+    base = sized.select(
         "batch", "gene_id",
         F.log1p(F.when(mean == 0, F.lit(1e-12)).otherwise(mean)).alias("means"),
         F.when(ratio > 0, F.log(ratio)).alias("dispersions"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellframe.functions.exprs import first_scalar
-from cellframe.functions.params import resolution_column, resolution_of
+from cellframe.functions.params import parse_resolutions, resolution_column, resolution_of
 from cellframe.operators import enrich, labels, normalize, qc, sampling, summaries
 from cellframe.session import scratch_root, store
 from cellframe.sources import manifest as mf
@@ -41,7 +41,7 @@ def flagship(spark, sf):
 
 def csv_of(df: DataFrame, name: str) -> str:
     path = f"{scratch_root(df.sparkSession)}/cellframe-{df.sparkSession.sparkContext.applicationId}/{name}"
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+    df.write.mode("overwrite").csv(path, header=True)
     return path
 
 
@@ -222,11 +222,13 @@ def suffix_flag(spark, sf):
 SELECT n_nationkey::BIGINT AS id, 'leiden_res' || replace(CAST((n_nationkey + 1) / 10.0 AS DOUBLE)::VARCHAR, '.', 'p') AS key,
        (n_nationkey + 1) / 10.0::DOUBLE AS resolution FROM nation""")
 def resolution_columns(spark, sf):
-    rows = t.table(spark, sf, "nation").select(i64("n_nationkey", "id"), ((F.col("n_nationkey") + 1) / 10.0).alias("resolution"))
-    key = F.concat(F.lit("leiden_res"), F.translate(F.col("resolution").cast("string"), ".", "p"))
-    back = F.translate(F.regexp_replace(key, "leiden_res", ""), "p", ".").cast("double")
-    assert resolution_of(resolution_column(0.5)) == 0.5
-    return rows.select("id", key.alias("key"), back.alias("resolution"))
+    """Column names of the resolutions that a parameter string lists, and the resolutions read back from them."""
+    listed = parse_resolutions(",".join(str((r[0] + 1) / 10) for r in t.table(spark, sf, "nation").select("n_nationkey").collect()))
+    keys = [resolution_column(r) for r in listed]
+    rows = [(k, resolution_of(k)) for k in keys]
+    found = spark.createDataFrame(rows, "key string, resolution double")
+    nation = t.table(spark, sf, "nation").select(i64("n_nationkey", "id"))
+    return nation.join(found, F.col("id") == F.round(F.col("resolution") * 10).cast("bigint") - 1).select("id", "key", "resolution")
 
 
 @query("marker_presence", S.with_(S.GENES, S.EXPR) + """
