@@ -150,22 +150,27 @@ def _types(text: np.ndarray) -> np.ndarray:
     n = len(text)
     differs = np.flatnonzero(text[:-1] != text[1:])
     out = np.zeros(n, bool)
-    if len(differs):
-        nxt = np.searchsorted(differs, np.arange(n - 1))
-        has = nxt < len(differs)
-        at = differs[np.minimum(nxt, len(differs) - 1)]
-        out[:-1] = has & (text[at] < text[at + 1])
+    if len(differs):  # a run has the type of its last symbol; one that ends the text is L
+        at = np.repeat(differs, np.diff(np.append(-1, differs)))
+        out[:len(at)] = text[at] < text[at + 1]
     return out
 
 
-def _refine(rank: np.ndarray, open_: np.ndarray, second: np.ndarray) -> np.ndarray:
+def _refine(rank: np.ndarray, open_: np.ndarray, second: np.ndarray, most: int | None = None) -> np.ndarray:
     """Orders the entries ``open_`` of equal rank by ``second``; returns those that still share a rank.
 
-    A rank is the place of the first entry of its group, so refining one group leaves all others as they are.
+    A rank is the place of the first entry of its group, so refining one group leaves all others as they are. Entries of a group stand
+    together in ``open_``. ``most`` bounds ``second`` (0 or more), if that is known: then one key does for both.
     """
-    by = np.lexsort((second, rank[open_]))
-    e, s = open_[by], second[by]
-    r = rank[e]
+    r = rank[open_]
+    group = np.cumsum(np.append(0, r[1:] != r[:-1]))
+    if not group[-1]:
+        by = np.argsort(second)
+    elif most is not None and int(group[-1]) * (most + 1) + most < 2 ** 62:
+        by = np.argsort(group * (most + 1) + second)
+    else:
+        by = np.lexsort((second, group))
+    e, s, r = open_[by], second[by], r[by]
     head = np.append(True, r[1:] != r[:-1])
     new = head | np.append(True, s[1:] != s[:-1])
     at = np.arange(len(e))
@@ -175,38 +180,38 @@ def _refine(rank: np.ndarray, open_: np.ndarray, second: np.ndarray) -> np.ndarr
     return e[~alone]
 
 
-def _words(padded: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return padded[at[:, None] + np.arange(8)]
+#: What fills a word up after its first k bytes: more than any symbol.
+_FILL = np.array([(1 << 8 * (8 - k)) - 1 for k in range(9)], np.uint64)
 
 
 def _sort_minima(text: np.ndarray, padded: np.ndarray, star: np.ndarray, cap: int, folder: Folder) -> tuple[np.ndarray, np.ndarray]:
     """The S* suffixes in order up to ``cap`` bytes, and the common prefix of each with the one before."""
     n = len(star)
+    words = np.lib.stride_tricks.as_strided(padded[:8].view("<u8"), (len(padded) - 7,), (1,))  # eight bytes from every place
     rank = folder.array(n, np.int64)
     open_ = np.arange(n)
     size = np.append(star[1:], len(text) - 1) - star + 1
     for depth in range(0, min(int(size.max()), cap + 8), 8):  # names: by the symbols of each substring
-        word = _words(padded, np.minimum(star[open_] + depth, len(text)))
-        word[(depth + np.arange(8))[None, :] >= size[open_][:, None]] = 0xFF  # a substring follows all that go on
-        open_ = _refine(rank, open_, word.view(">u8")[:, 0].astype(np.uint64))
+        word = words[np.minimum(star[open_] + depth, len(text))].byteswap()
+        word |= _FILL[np.clip(size[open_] - depth, 0, 8)]  # a substring follows all that go on
+        open_ = _refine(rank, open_, word)
         if not len(open_):
             break
     ahead = 1
     while len(open_) and ahead * 2 <= cap:  # a substring takes two symbols at least
         follow = open_ + ahead
-        second = np.where(follow < n, rank[np.minimum(follow, n - 1)], -1)
-        open_ = _refine(rank, open_, second)
+        second = np.where(follow < n, rank[np.minimum(follow, n - 1)] + 1, 0)
+        open_ = _refine(rank, open_, second, n)
         ahead *= 2
-    order = star[np.argsort(rank, kind="stable")]
+    order = star[np.argsort(rank)]
     link = np.zeros(n, np.uint8)
     live = np.arange(1, n)
     for depth in range(0, cap, 8):
-        a = _words(padded, np.minimum(order[live - 1] + depth, len(text)))
-        b = _words(padded, np.minimum(order[live] + depth, len(text)))
-        same = a == b
-        equal = same.all(axis=1)
-        link[live] = np.minimum(depth + np.where(equal, 8, same.argmin(axis=1)), cap)
-        live = live[equal]
+        differ = words[np.minimum(order[live - 1] + depth, len(text))] ^ words[np.minimum(order[live] + depth, len(text))]
+        low = (differ & (~differ + np.uint64(1))).astype(float)  # the lowest bit set is in the first byte that differs
+        same = np.where(differ == 0, 8, (np.frexp(low)[1] - 1) // 8)
+        link[live] = np.minimum(depth + same, cap)
+        live = live[differ == 0]
         if not len(live):
             break
     return order, link
