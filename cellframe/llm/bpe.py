@@ -21,7 +21,7 @@ from cellframe.llm import common
 from cellframe.llm.registry import query
 
 #: A worker remembers the ids of so many of the pieces and matches it saw last; results do not depend on it.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 #: Letters in every version of Unicode, and a sign that is not white space, a letter or a number.
 _LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
@@ -127,10 +127,12 @@ class Encoder:
             fresh[p] = stale[p] if p in stale else encode(p)
         data = []
         for t, parts in zip(texts, pieces):
-            ids = [fresh[p] for p in parts]
-            if None in ids or t and not parts:
-                ids = map(self.match, self.matches(t))
-            data.append(b"".join(ids))
+            try:
+                if t and not parts:
+                    raise TypeError
+                data.append(b"".join(map(fresh.__getitem__, parts)))
+            except TypeError:  # a piece is None
+                data.append(b"".join(map(self.match, self.matches(t))))
         return np.frombuffer(b"".join(data), np.int32), np.array([len(x) // 4 for x in data], np.int64)
 
 
