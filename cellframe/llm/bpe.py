@@ -141,9 +141,23 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-@lru_cache(maxsize=2)
+_ENCODERS: dict[tuple[str, str], Encoder] = {}
+
+
 def encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(vocabulary(path), pattern)
+    """The worker's encoder; it is made once, and forgets its pieces when a task ends."""
+    if (path, pattern) not in _ENCODERS:
+        _ENCODERS[path, pattern] = Encoder(vocabulary(path), pattern)
+    return _ENCODERS[path, pattern]
+
+
+def _forget() -> None:
+    for e in _ENCODERS.values():
+        e.fresh, e.stale = {}, {}
+        e.match.cache_clear()
+
+
+common.FORGET.append(_forget)
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", offsets: bool = False, ids: str = "ids") -> DataFrame:
@@ -186,7 +200,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
                 out = pa.array([data[x:y] for x, y in zip(size, size[1:])], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns, out], [*part.schema.names, decoded])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(common.tidy(run), schema)
 
 
 def digest_columns() -> list[Column]:

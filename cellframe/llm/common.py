@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +53,30 @@ def slices(texts: list[str | None], limit: int = SLICE_CHARS) -> Iterator[tuple[
         yield start, len(texts)
 
 
+#: What a worker's modules remember and can do without: called when a task ends.
+FORGET: list[Callable[[], None]] = []
+
+
+def tidy(fn):
+    """``fn`` over Arrow batches; when the task is done, the worker gives its memory back to the machine.
+
+    Spark keeps workers for later tasks, also of other operators, and an executor's memory has to do for all of them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            for forget in FORGET:
+                forget()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # another C library keeps what it has
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 def parts(batch: pa.RecordBatch, column: str | int, limit: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``limit`` bytes in a text column each, so that only so much becomes Python objects."""
     size = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64)
@@ -87,7 +114,7 @@ def with_columns(df: DataFrame, text: str, added: list[tuple[str, DataType]], fn
             for part in parts(batch, text):
                 yield pa.RecordBatch.from_arrays([*part.columns, *fn(part.column(text).to_pylist())], [*part.schema.names, *names])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def crc_fold(column: str, n: int):

@@ -135,7 +135,7 @@ def _count_words(docs: DataFrame, blocks_words: np.ndarray, text: str) -> tuple[
             [pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(n[at], total), pa.int64())], ["word", "n"]
         )
 
-    rows = docs.select(text).mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select(text).mapInArrow(common.tidy(count), "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect()
     found = {r["word"]: r["n"] for r in rows}
     total = max(found.pop(-1, 0), 1)
     vocabulary.unpersist()

@@ -150,7 +150,7 @@ def learn(pages: DataFrame) -> dict[str, tuple[int, int]]:
             ["kind", "inside", "outside"],
         )
 
-    rows = pages.select("html").mapInArrow(count, "kind string, inside bigint, outside bigint")
+    rows = pages.select("html").mapInArrow(common.tidy(count), "kind string, inside bigint, outside bigint")
     sums = rows.groupBy("kind").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside")).collect()
     return {r["kind"]: (r["inside"], r["outside"]) for r in sums}
 

@@ -116,7 +116,7 @@ def fit(train: DataFrame, sample: int = SAMPLE, model_rows: int = MODEL_ROWS) ->
                     ["lang", "gram", "n"],
                 )
 
-    counts = chosen.mapInArrow(count, "lang string, gram string, n bigint").groupBy("gram", "lang").agg(F.sum("n").alias("n"))
+    counts = chosen.mapInArrow(common.tidy(count), "lang string, gram string, n bigint").groupBy("gram", "lang").agg(F.sum("n").alias("n"))
     by_gram = counts.groupBy("gram").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("n"))
     top = by_gram.orderBy(F.desc("total"), "gram").limit(model_rows)
     kept = top.select("gram", F.explode("n").alias("lang", "n")).toPandas()

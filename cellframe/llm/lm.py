@@ -209,7 +209,7 @@ def train(counts: DataFrame) -> Mixture:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*cells, n)], ["bucket", "q2", "q1", "n"])
 
     training = counts.where((F.col("kind") == 0) & ~F.col("held_out")).select("n_tokens", "counts")
-    cells = training.mapInArrow(histogram, "bucket bigint, q2 bigint, q1 bigint, n bigint")
+    cells = training.mapInArrow(common.tidy(histogram), "bucket bigint, q2 bigint, q1 bigint, n bigint")
     cells = cells.groupBy("bucket", "q2", "q1").agg(F.sum("n").alias("n")).orderBy("bucket", "q2", "q1").toPandas()
     for r, q in (("r2", "q2"), ("r1", "q1")):
         cells[r] = np.where(cells[q] == -400, 0.0, 2.0 ** (cells[q].astype(float) * _STEP))
@@ -244,7 +244,7 @@ def scores(docs: DataFrame, held_out: Column) -> DataFrame:
                 schema.names,
             )
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(common.tidy(run), schema)
 
 
 @query("op9_interpolated_lm")

@@ -114,7 +114,7 @@ def sketch(docs: DataFrame) -> DataFrame:
                 ], ["doc_id", "n", "d1", "d2", "signature"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id bigint, n bigint, d1 bigint, d2 bigint, signature binary")
+    return rows.mapInArrow(common.tidy(run), "doc_id bigint, n bigint, d1 bigint, d2 bigint, signature binary")
 
 
 def _unfold(classes: DataFrame) -> DataFrame:
@@ -129,7 +129,7 @@ def _unfold(classes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc", "n", *names])
 
     schema = ", ".join(f"{c} bigint" for c in ["doc", "n", *names])
-    return classes.select("doc", "n", "signature").mapInArrow(run, schema)
+    return classes.select("doc", "n", "signature").mapInArrow(common.tidy(run), schema)
 
 
 def _leaf_pairs(rows: DataFrame, *key) -> DataFrame:
@@ -188,7 +188,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
                 sets = pa.array([s.tobytes() for s in shingle_sets(part.column(1).to_pylist(), hashes)], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column(0), sets], ["doc", "members"])
 
-    sets = needed.join(texts.mapInArrow(make_sets, "doc bigint, members binary"), "doc").select(F.col("home").alias("place"), "doc", "members")
+    sets = needed.join(texts.mapInArrow(common.tidy(make_sets), "doc bigint, members binary"), "doc").select(F.col("home").alias("place"), "doc", "members")
 
     def confirm(pair: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
         sets = {d: np.frombuffer(s, np.uint64) for d, s in zip(members["doc"], members["members"])}

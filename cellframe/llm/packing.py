@@ -141,7 +141,7 @@ def pack(docs: DataFrame, path: str, pattern: str, end_id: int, length: int = LE
         if held:
             yield pack_batch(ids, np.concatenate(flats), np.concatenate(counts), length, end_id)
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(common.tidy(run), SCHEMA)
     return rows.select(F.monotonically_increasing_id().alias("pack_id"), "*")
 
 
@@ -157,7 +157,7 @@ def unpack(packed: DataFrame) -> DataFrame:
                     pa.array([row[a:b] for a, b in zip(cu, cu[1:])], pa.list_(pa.int32())),
                 ], ["doc_id", "first", "ids"])
 
-    return packed.select("doc_ids", "doc_starts", "cu_seqlens", "ids").mapInArrow(run, "doc_id bigint, first int, ids array<int>")
+    return packed.select("doc_ids", "doc_starts", "cu_seqlens", "ids").mapInArrow(common.tidy(run), "doc_id bigint, first int, ids array<int>")
 
 
 @query("op6_packed_ids")

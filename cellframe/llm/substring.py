@@ -195,7 +195,7 @@ def removed_spans(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id",
         spans = [pairs[x:y].reshape(-1).astype(np.int32) for x, y in zip(own, np.append(own[1:], len(pairs)))]
         return pd.DataFrame({"doc_id": doc[starts[own]], "spans": spans})
 
-    sent = source.mapInArrow(hash_windows, "bucket int, data binary")
+    sent = source.mapInArrow(common.tidy(hash_windows), "bucket int, data binary")
     late = sent.groupBy("bucket").applyInPandas(count, "part int, data binary")
     return late.groupBy("part").applyInPandas(merge, "doc_id bigint, spans array<int>")
 
@@ -253,7 +253,7 @@ def dedup_text(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             at = batch.schema.get_field_index("text")
             yield batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
 
-    done = joined.mapInArrow(run, out)
+    done = joined.mapInArrow(common.tidy(run), out)
     if "n_chars" in docs.columns:
         counted = F.length("text").cast(docs.schema["n_chars"].dataType)
         done = done.withColumn("n_chars", F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(counted))
@@ -277,7 +277,7 @@ def digests(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 ["doc_id", "n_words", "n_removed", "kept_sha256"],
             )
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(common.tidy(run), schema)
 
 
 @query("op8_substring_dedup", oracles.SUBSTRING)

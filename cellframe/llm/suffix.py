@@ -182,7 +182,7 @@ def suspects(docs: DataFrame, length: int, gram: int, n: int) -> DataFrame:
     def merge(part: pd.DataFrame) -> pd.DataFrame:
         return _merge(part, "suspect")
 
-    sent = docs.mapInArrow(send, "bucket int, data binary")
+    sent = docs.mapInArrow(common.tidy(send), "bucket int, data binary")
     found = sent.groupBy("bucket").applyInPandas(count, "part int, data binary")
     return found.groupBy("part").applyInPandas(merge, "doc_id bigint, suspect array<int>")
 
@@ -275,7 +275,7 @@ def repeats(texts: DataFrame, length: int, gram: int, n: int, memory: int = MEMO
     def merge(part: pd.DataFrame) -> pd.DataFrame:
         return _merge(part, "spans")
 
-    sent = texts.mapInArrow(send, "kind int, key int, data binary, content binary")
+    sent = texts.mapInArrow(common.tidy(send), "kind int, key int, data binary, content binary")
     found = sent.groupBy("kind", "key").applyInPandas(sort, "part int, data binary")
     return found.groupBy("part").applyInPandas(merge, "doc_id bigint, spans array<int>")
 
@@ -322,7 +322,7 @@ def digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, memory: int
             })
 
     cut = some.select("doc_id", "anonymous", "text").join(spans.hint("shuffle_hash"), "doc_id", "left").mapInArrow(
-        run, "doc_id bigint, anonymous boolean, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+        common.tidy(run), "doc_id bigint, anonymous boolean, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     )
     whole = split.where("suspect is null").select(
         "doc_id", "anonymous", "n_bytes", F.lit(0).cast("bigint").alias("n_removed"), F.lit(0).cast("bigint").alias("n_spans"), "kept_sha256"
