@@ -154,6 +154,23 @@ def test_near_duplicates_of_a_crowded_group(spark):
     assert collected(neardup.near_duplicates(df)) == brute_components(rows, 85)
 
 
+@pytest.mark.parametrize("block", [256, 7])
+def test_near_duplicates_of_a_template(spark, monkeypatch, block):
+    """Documents on one template, each at 0.86 to one other and at 0.80 to all the rest: no region tells the partners apart."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    rng = random.Random(5)
+    base = prose(rng, 404).split()
+    slots = range(20, 380, 40)
+    rows = []
+    for i in range(800):
+        w = list(base)
+        for k, at in enumerate(slots):
+            w[at] = f"pair{i // 2}at{k}" if k < 3 else f"own{i}at{k}"
+        rows.append((i, " ".join(w)))
+    got = collected(neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got == {i: (400, i // 2 * 2, i % 2 == 0) for i in range(800)}
+
+
 def test_near_duplicates_keeps_columns(docs, texts):
     want = {d for d, v in brute_components(list(enumerate(texts)), 85).items() if v[2]}
     got = neardup.keep_first(docs)
