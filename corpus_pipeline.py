@@ -13,6 +13,10 @@ from cellframe.llm import bpe, decontaminate, neardup, quality, substring
 from cellframe.session import store
 
 
+#: Documents whose sets of five-word shingles are at least so similar are near copies; op5's own contract has 85.
+NEAR_PERCENT = 80
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the base rules or a certified cutoff reject."""
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -20,7 +24,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of near copies the document with the smallest id."""
-    return neardup.keep_first(docs)
+    return neardup.keep_first(docs, percent=NEAR_PERCENT)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

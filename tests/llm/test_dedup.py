@@ -177,6 +177,24 @@ def test_near_duplicates_keeps_columns(docs, texts):
     assert got.columns == docs.columns and {r["doc_id"] for r in got.collect()} == want
 
 
+def test_near_duplicate_stage_links_at_080(spark):
+    """Copies at similarities from 0.70 to 0.95 of their originals, many of them from 0.80 to 0.85."""
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    rows = []
+    for i in range(60):
+        w = prose(rng, 204).split()
+        rows.append((2 * i, " ".join(w)))
+        for k in range(1 + i % 7):
+            w[10 + 28 * k] = f"edit{i}at{k}"
+        rows.append((2 * i + 1, " ".join(w)))
+    want = {percent: {d for d, v in brute_components(rows, percent).items() if v[2]} for percent in (80, 85)}
+    assert want[80] < want[85]
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert {r["doc_id"] for r in got.collect()} == want[80]
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert neardup.near_duplicates(empty).count() == 0
