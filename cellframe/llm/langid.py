@@ -5,7 +5,8 @@ character n-grams (with marks for the word's ends), from the longest length of w
 score per language is the sum over its words.
 
 The model is fitted on a bounded sample: about ``SAMPLE`` training documents per language, chosen by a hash of their ids, so its
-tables stay small enough to broadcast whatever the corpus holds. Every text is then scored as a whole.
+tables stay small enough to broadcast whatever the corpus holds. Every word and n-gram of the sample is kept, with the languages
+that hold it only; the driver sees them as packed arrays. Every text is then scored as a whole.
 """
 
 from __future__ import annotations
@@ -14,9 +15,9 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,14 +25,12 @@ from pyspark.sql.types import DoubleType, StringType
 
 from cellframe.llm import common
 from cellframe.llm.registry import query
-from cellframe.session import store
+from cellframe.session import discard, store
 
 #: Training documents per language, about.
 SAMPLE = 1500
 #: Characters of the longest and the shortest n-grams of the backoff.
 LONGEST = 5
-#: Kept words and n-grams of a model at most, the most frequent first.
-MODEL_ROWS = 150_000
 #: What is added to every count.
 ALPHA = 0.5
 REMEMBERED = 200_000
@@ -55,18 +54,38 @@ def grams(word: str, n: int) -> list[str]:
 
 @dataclass
 class Model:
-    """Log frequencies per language. ``rows`` names the row of a word or n-gram; keys start with the n-gram length, 0 for words."""
+    """Log frequencies per language. ``names`` are the words and n-grams, a line each; they start with the n-gram length, 0 for words.
+
+    ``base`` holds, per length, the log frequency of what a language does not hold; ``gain`` what its count adds to that,
+    ``held[starts[i]:starts[i + 1]]`` being the languages that hold name i.
+    """
 
     langs: list[str]
-    rows: dict[str, int]
-    table: np.ndarray
+    names: bytes
+    base: np.ndarray
+    starts: np.ndarray
+    held: np.ndarray
+    gain: np.ndarray
     unseen: dict[str, np.ndarray] = field(default_factory=dict)
 
+    @cached_property
+    def rows(self) -> dict[str, int]:
+        return {g: i for i, g in enumerate(self.names.decode().split("\n"))} if self.names else {}
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("rows", "unseen")} | {"unseen": {}}
+
+    def _sum(self, rows: list[int], length: int) -> np.ndarray:
+        """The summed scores of names of one length."""
+        r = np.array(rows, np.int64)
+        at = common.ragged(self.starts[r], self.starts[r + 1] - self.starts[r])
+        return len(r) * self.base[length] + np.bincount(self.held[at], weights=self.gain[at], minlength=len(self.langs))
+
     def _backoff(self, word: str) -> np.ndarray:
         for n in range(LONGEST, 0, -1):
             known = [self.rows[k] for g in grams(word, n) if (k := f"{n}{g}") in self.rows]
             if known:
-                return self.table[known].mean(axis=0)
+                return self._sum(known, n) / len(known)
         return np.zeros(len(self.langs))
 
     def score(self, text: str | None) -> tuple[str, float]:
@@ -86,12 +105,12 @@ class Model:
                 value = self.unseen[word] = self._backoff(word)
             total = total + n * value
         if seen:
-            total = total + self.table[seen].sum(axis=0)
+            total = total + self._sum(seen, 0)
         best = int(total.argmax())  # of equals the first in the languages' order
         return self.langs[best], float(1.0 / np.exp(total - total[best]).sum())
 
 
-def fit(train: DataFrame, sample: int = SAMPLE, model_rows: int = MODEL_ROWS) -> Model:
+def fit(train: DataFrame, sample: int = SAMPLE) -> Model:
     """A model of ``train`` (doc_id, text, lang: not null). No rows, no languages."""
     per = store(train.where("text is not null").groupBy("lang").agg(F.count("*").alias("_docs")))
     share = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 40)) / F.lit(float(1 << 40))
@@ -117,24 +136,39 @@ def fit(train: DataFrame, sample: int = SAMPLE, model_rows: int = MODEL_ROWS) ->
                 )
 
     counts = chosen.mapInArrow(common.tidy(count), "lang string, gram string, n bigint").groupBy("gram", "lang").agg(F.sum("n").alias("n"))
-    by_gram = counts.groupBy("gram").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("n"))
-    top = by_gram.orderBy(F.desc("total"), "gram").limit(model_rows)
-    kept = top.select("gram", F.explode("n").alias("lang", "n")).toPandas()
-    return _model(kept)
-
-
-def _model(kept: pd.DataFrame) -> Model:
-    langs = sorted(kept["lang"].unique())
-    names = sorted(kept["gram"].unique())
-    rows = {g: i for i, g in enumerate(names)}
-    n = np.zeros((len(names), len(langs)))
-    n[kept["gram"].map(rows).to_numpy(int), kept["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(int)] = kept["n"]
-    order = np.array([int(g[0]) for g in names], int)
-    table = np.empty_like(n)
+    counts = store(counts)
+    langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    number = {x: i for i, x in enumerate(langs)}
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            cuts, flat = np.asarray(lists.offsets), lists.values
+            held = np.array([number[x] for x in flat.field(0).to_pylist()], np.int32)[cuts[0]:cuts[-1]]
+            n = np.asarray(flat.field(1)).astype(np.int64)[cuts[0]:cuts[-1]]
+            cols = ("\n".join(batch.column(0).to_pylist()).encode(), np.diff(cuts).astype(np.int32).tobytes(), held.tobytes(), n.tobytes())
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in cols], ["names", "sizes", "held", "n"])
+
+    by_gram = counts.groupBy("gram").agg(F.sort_array(F.collect_list(F.struct("lang", "n"))).alias("n"))
+    packed = by_gram.mapInArrow(common.tidy(pack), "names binary, sizes binary, held binary, n binary").collect()
+    discard(counts)
+    return _model(langs, sorted(packed, key=lambda r: bytes(r["names"])))
+
+
+def _model(langs: list[str], packed: list) -> Model:
+    names = b"\n".join(bytes(r["names"]) for r in packed)
+    sizes, held = (np.concatenate([np.frombuffer(r[c], np.int32) for r in packed] or [np.zeros(0, np.int32)]) for c in ("sizes", "held"))
+    n = np.concatenate([np.frombuffer(r["n"], np.int64) for r in packed] or [np.zeros(0, np.int64)]).astype(float)
+    raw = np.frombuffer(b"\n" + names if names else b"", np.uint8)
+    order = raw[np.flatnonzero(raw == 10) + 1].astype(np.int64) - ord("0")
+    each = np.repeat(order, sizes)
+    base = np.zeros((LONGEST + 1, len(langs)))
     for k in range(LONGEST + 1):
-        own = order == k
-        table[own] = np.log((n[own] + ALPHA) / (n[own].sum(axis=0) + ALPHA * (own.sum() + 1)))
-    return Model(langs, rows, table)
+        own = each == k
+        total = np.bincount(held[own], weights=n[own], minlength=len(langs))
+        base[k] = np.log(ALPHA / (total + ALPHA * ((order == k).sum() + 1)))
+    return Model(langs, names, base, np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), held, np.log((n + ALPHA) / ALPHA))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

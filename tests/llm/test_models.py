@@ -158,6 +158,31 @@ def test_language_sample_is_bounded(spark):
     assert 1 <= word <= 26
 
 
+def test_language_model_keeps_every_word_of_the_sample(spark):
+    """A language of many frequent words beside one whose words are all rare, more than 150,000 words and n-grams in all."""
+    rng = random.Random(6)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(9))
+    rows = []
+    for i in range(300):
+        own = [word("abcdefghijklm") for _ in range(80)]
+        rows.append((i, " ".join(own + own), "aa"))
+    rows += [(1000 + i, " ".join(word("nopqrstuvwxyz") for _ in range(40)), "bb") for i in range(20)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    want = {"0" + w for _, t, _ in rows for w in t.split()}
+    want |= {f"{k}{g}" for w in [w[1:] for w in want] for k in range(1, langid.LONGEST + 1) for g in langid.grams(w, k)}
+    assert len(want) > 150_000 and set(model.rows) == want
+
+
+def test_language_scores_match_a_plain_model(spark):
+    rows = [(1, "ab ab cd", "x"), (2, "ab ce", "y"), (3, "zz", "z")]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    n = {"x": {"ab": 2, "cd": 1}, "y": {"ab": 1, "ce": 1}, "z": {"zz": 1}}
+    total = {x: sum(math.log((c.get(w, 0) + 0.5) / (sum(c.values()) + 0.5 * 5)) for w in ("ab", "ab", "ce")) for x, c in n.items()}
+    lang, score = model.score("ab ce ab")
+    assert lang == max(total, key=total.get)
+    assert score == pytest.approx(1 / sum(math.exp(v - total[lang]) for v in total.values()))
+
+
 def test_language_accuracy_on_held_out_documents(spark, sf_small):
     out = registry.QUERIES["op3_language_id"](spark, sf_small).join(
         spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "lang"), "doc_id"
