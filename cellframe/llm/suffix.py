@@ -10,7 +10,8 @@ theirs, so they travel together as one fragment.
    :mod:`cellframe.llm.induced`. Suffixes whose common prefix reaches 100 bytes are copies; all but the earliest are removed.
 3. *Merge* and *cut*: the removed ranges of a document are put together, and the document without them is hashed.
 
-Shards follow ``spark.sql.shuffle.partitions``; one that outgrows memory sorts from disk. Hashes only choose shards and fragments: a
+Shards follow ``spark.sql.shuffle.partitions``; the sort's queues and ranks go to disk beyond ``MEMORY``, but a
+shard's fragments, text, types and classes are held in memory and a shard is not split, so memory grows with the largest. Hashes only choose shards and fragments: a
 collision costs a little work and never a result, since strings are compared by their bytes.
 """
 
