@@ -9,8 +9,8 @@ distinct words and bigrams, packed, to buckets, which add up the groups' trainin
 A word that stands in a third of all documents is thus one number per group. A group then writes each token's counts, from which
 both the learning, over a small histogram of probabilities, and the scoring read.
 
-Hashes carry 48 bits within a bucket, and the number of buckets follows ``spark.sql.shuffle.partitions``: in a bucket of a million
-entries two share a hash, and so their counts, with a probability of about 0.002, however large the data is.
+Hashes carry 48 bits within a bucket, and the number of buckets is set by ``spark.sql.shuffle.partitions``, not by the input: in a bucket
+of a million entries two share a hash, and so their counts, with a probability of about 0.002; in one of 12 million some 0.25 pairs do.
 """
 
 from __future__ import annotations

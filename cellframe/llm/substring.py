@@ -3,13 +3,13 @@
 1. *Hash*: every task hashes the windows of a slice of documents by two Rabin-Karp polynomials, drops the windows whose
    hash the slice has already had (those are repeats) and sends the first ones, packed, to a bucket named by one of the
    polynomials. A window that thousands of documents share is thus sent once per slice.
-2. *Count*: a bucket groups its windows by the 56 further hash bits; all but the earliest of a group are repeats.
+2. *Count*: a bucket groups its windows by all bits of the other polynomial; all but the earliest of a group are repeats.
 3. *Merge*: the repeats of a document come together and are merged into maximal spans of words.
 4. *Cut*: documents are joined with their spans by id.
 
-Two different windows are taken for equal only if 56 bits agree within a bucket. The number of buckets follows
-``spark.sql.shuffle.partitions``, so a bucket's size, and with it the chance, stays the same as the data grows (about 1e-5
-for a bucket of a million windows).
+Two different windows are taken for equal only if all 61 bits agree within a bucket: about 2e-7 for a bucket of a million windows,
+3e-5 for one of 12 million. The number of buckets is set by ``spark.sql.shuffle.partitions`` and not by the input, so the chance
+grows with the data unless that setting does.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ WINDOW = 20
 _P = (1 << 61) - 1
 _BASES = (1_113_871_470_261_530_123, 842_502_087_349_201_907)
 _SLICE = 2_000_000
-_HASH_BYTES = 7
+_HASH_BYTES = 8
 _NO_ID = -(2 ** 63)
 
 

@@ -7,7 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from cellframe.llm import components, induced, neardup, substring, suffix
+from cellframe.llm import components, induced, neardup, packets, substring, suffix
 from llm.conftest import prose
 
 
@@ -225,3 +225,8 @@ def test_hash_is_a_polynomial():
     for window in (1, 2, 3, 5, 7, 20, 60):
         want = [sum(int(v) * pow(base, window - 1 - k, p) for k, v in enumerate(x[i:i + window])) % p for i in range(61 - window)]
         assert substring.rabin_karp(x, window, base).tolist() == want
+
+
+def test_windows_travel_with_all_hash_bits():
+    x = np.arange(256, dtype=np.uint64) << np.uint64(56)
+    assert packets.from_planes(memoryview(packets.planes(x, substring._HASH_BYTES)), len(x), substring._HASH_BYTES).tolist() == x.tolist()
