@@ -114,7 +114,8 @@ def _union(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, n
     order = np.lexsort((a, doc))
     doc, a, b = doc[order], a[order], b[order]
     group = np.cumsum(np.append(0, doc[1:] != doc[:-1]))
-    reach = np.maximum.accumulate(b + group * (np.int64(1) << 40)) - group * (np.int64(1) << 40)
+    step = np.int64(1) << 31  # a text has fewer bytes, and a part fewer than 2^32 documents
+    reach = np.maximum.accumulate(b + group * step) - group * step
     new = np.append(True, (group[1:] != group[:-1]) | (a[1:] > reach[:-1]))
     first = np.flatnonzero(new)
     return doc[first], a[first], reach[np.append(first[1:], len(doc)) - 1]
