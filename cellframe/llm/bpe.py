@@ -5,7 +5,6 @@ from __future__ import annotations
 import base64
 import os
 import re
-from array import array
 from functools import lru_cache
 from itertools import chain
 
@@ -20,13 +19,14 @@ from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType, B
 from cellframe.llm import common
 from cellframe.llm.registry import query
 
-#: A worker remembers the ids of so many of the pieces and matches it saw last; results do not depend on it.
-REMEMBERED = 200_000
+#: A worker forgets its stretches of text when it knows so many, or so many characters of them; results do not depend on it.
+REMEMBERED = 400_000
+REMEMBERED_CHARS = 8_000_000
 
 #: Letters in every version of Unicode, and a sign that is not white space, a letter or a number.
 _LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
-#: In front of a text's first piece: no space stands there.
-_NO_SPACE = "\x00"
+#: In front of a text's first stretch, where no blank stands, and between the matches that the library gets together.
+_NUL = "\x00"
 
 
 def _byte_alphabet() -> list[str]:
@@ -64,12 +64,44 @@ class Vocabulary:
         return first.astype(np.int32), (number[ends - 1] if len(ids) else ends).astype(np.int32)
 
 
+class _Memory:
+    """Ids of strings, by number: ``flat[start[n]:start[n] + count[n]]``."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.start, self.count, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.chars = 0
+
+    def add(self, names: list[str], parts: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """``parts`` have the names' counts and ids, one after another."""
+        count = np.concatenate([c for c, _ in parts]) if parts else np.zeros(0, np.int64)
+        self.number.update(zip(names, range(len(self.count), len(self.count) + len(names))))
+        self.chars += sum(map(len, names))
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(count) - count])
+        self.count = np.concatenate([self.count, count])
+        self.flat = np.concatenate([self.flat, *(x for _, x in parts)])
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each has, and all of them."""
+        count = self.count[numbers]
+        return count, self.flat[common.ragged(self.start[numbers], count)]
+
+    def full(self) -> bool:
+        return len(self.count) > REMEMBERED or self.chars > REMEMBERED_CHARS
+
+
 class Encoder:
-    """The library's BPE over a vocabulary, and what it has encoded already."""
+    """The library's BPE over a vocabulary, and what it has encoded already.
+
+    The library gets each distinct match of the pattern once, many in one call. For the public pattern texts are looked up by the
+    stretches between blanks: where a single blank stands between two characters that are not white space, a match starts at the
+    blank and none goes over it, so a stretch has the same ids wherever it stands. Another pattern is matched over whole texts.
+    """
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import models
+        import public_tokenizers
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         ranks, char = vocabulary.ranks, _byte_alphabet()
         name = {token: "".join(char[b] for b in token) for token in ranks}
@@ -78,62 +110,113 @@ class Encoder:
             cuts = [(token[:i], token[i:]) for i in range(1, len(token))]
             cuts = [c for c in cuts if c[0] in ranks and c[1] in ranks]
             merges += [(name[a], name[b]) for a, b in sorted(cuts, key=lambda c: (ranks[c[0]], ranks[c[1]]))]
-        self.model = models.BPE({name[t]: r for t, r in ranks.items()}, merges, ignore_merges=True)
-        self.matches = regex.compile(pattern).findall
+        self.library = Tokenizer(models.BPE({name[t]: r for t, r in ranks.items()}, merges, ignore_merges=True))
+        self.library.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split(_NUL, "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        ])
         self.char = dict(enumerate(char))
-        self.fresh: dict[str, bytes | None] = {}  # pieces of the last slices
-        self.stale: dict[str, bytes | None] = {}  # and those before
-        self.match = lru_cache(maxsize=REMEMBERED // 4)(self._match)
-
-    def _ids(self, mapped: str) -> bytes:
-        return array("i", [t.id for t in self.model.tokenize(mapped)]).tobytes()
-
-    def _match(self, match: str) -> bytes:
-        return self._ids(match.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.char))
-
-    def _piece(self, piece: str) -> bytes | None:
-        """Ids of a piece between two spaces, with the one before it; None if it can't be encoded alone."""
-        plain = _LATIN.fullmatch(piece)
-        if plain:  # a match of letters, and perhaps one of a single sign
-            word, sign = plain.groups()
-            if sign:
-                found = self.fresh.get(word) or self.stale.get(word)
-                if found is None:
-                    found = self.fresh[word] = self._piece(word)
-                return found + self.match(sign)
-            mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self.char)
-            return self._ids(self.char[32] + mapped)
-        text = piece[1:] if piece[:1] == _NO_SPACE else f" {piece}"
-        if piece in ("", _NO_SPACE) or piece[-1].isspace() or text[1:2].isspace() or text[0] != " " and text[0].isspace():
-            return None
-        return b"".join(map(self.match, self.matches(text)))
+        self.length = vocabulary.length
+        self.find = regex.compile(pattern).findall if not regex.compile(pattern).groups else None
+        self.matcher = regex.compile(pattern)
+        self.by_stretch = pattern == public_tokenizers.PATTERN
+        self.forget()
+
+    def forget(self) -> None:
+        self.matches, self.stretches = _Memory(), _Memory()
+
+    def _matches(self, text: str) -> list[str]:
+        return self.find(text) if self.find else [m.group() for m in self.matcher.finditer(text)]
+
+    def _learn_matches(self, matches: list[str]) -> None:
+        """Encodes matches that are not known yet."""
+        together = [m for m in matches if _NUL not in m]
+        parts = []
+        for a in range(0, len(together), 2000):
+            part = together[a:a + 2000]
+            ids = np.array(self.library.encode_batch_fast([_NUL.join(part)], add_special_tokens=False)[0].ids, np.int32)
+            ends = np.cumsum([len(m.encode()) for m in part])
+            until = np.searchsorted(np.cumsum(self.length[ids]), ends) + 1
+            if until[-1] != len(ids):
+                raise ValueError("the vocabulary lacks some bytes")
+            parts.append((np.diff(np.append(0, until)), ids))
+        alone = [m for m in matches if _NUL in m]
+        for m in alone:
+            mapped = m.encode().decode("latin-1").translate(self.char)
+            ids = np.array([t.id for t in self.library.model.tokenize(mapped)], np.int32)
+            parts.append((np.array([len(ids)]), ids))
+        self.matches.add([*together, *alone], parts)
+
+    def _ids(self, found: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each list of matches has, and all of them."""
+        known = self.matches.number
+        self._learn_matches([m for m in dict.fromkeys(chain.from_iterable(found)) if m not in known])
+        numbers = np.fromiter(map(self.matches.number.__getitem__, chain.from_iterable(found)), np.int64)
+        count, flat = self.matches.of(numbers)
+        ends = np.concatenate([[0], np.cumsum(count)])[np.cumsum([0, *map(len, found)])]
+        return np.diff(ends), flat
+
+    def _learn(self, names: list[str]) -> None:
+        """Encodes stretches, named as ``_split`` does."""
+        found = []
+        for name in names:
+            plain = _LATIN.fullmatch(name)
+            if plain:  # a match of letters, and perhaps one of a single sign
+                word, sign = plain.groups()
+                found.append([f" {word}", sign] if sign else [f" {word}"])
+            else:
+                start = name[:1]
+                text = name[1:] if start == _NUL else f" {name}" if start != " " else f" {name[2:]}" if name[1] == "m" else name[2:]
+                found.append(self._matches(text))
+        self.stretches.add(names, [self._ids(found)])
+
+    def _split(self, text: str) -> list[str]:
+        """The names of the stretches of any text.
+
+        A part between two blanks stands for itself and the blank in front, the first with a NUL for itself. Where a blank has white
+        space beside it, parts go together; such a stretch has a blank in its name, which no part has: `` m`` in the middle, `` f``
+        as the first. A text with a NUL is one stretch, `` w``.
+        """
+        if _NUL in text:
+            return [f" w{text}"]
+        parts = text.split(" ")
+        out = [parts[0]]
+        for x, y in zip(parts, parts[1:]):
+            if x and y and not x[-1].isspace() and not y[0].isspace():
+                out.append(y)
+            else:
+                out[-1] += f" {y}"
+        odd = [" " in s or _odd(s) for s in out]
+        return [f" f{out[0]}" if odd[0] else _NUL + out[0], *(f" m{s}" if o else s for s, o in zip(out[1:], odd[1:]))]
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and how many each text has.
-
-        Where no white space touches a space and none stands at either end, no match of the pattern crosses a space but the
-        one that takes it in at its front, so the pieces between spaces are encoded alone. Other texts are taken whole.
-        """
-        pieces: list[list[str]] = []
+        """Ids of all texts in a row, and how many each text has."""
+        if self.matches.full() or self.stretches.full():
+            self.forget()
+        if not self.by_stretch:
+            counts, flat = self._ids([self._matches(t) if t else [] for t in texts])
+            return flat, counts
+        split: list[list[str]] = []
         for t in texts:
-            parts = t.split(" ") if t and _NO_SPACE not in t else []
-            if parts:
-                parts[0] = _NO_SPACE + parts[0]
-            pieces.append(parts)
-        if len(self.fresh) > REMEMBERED // 2:
-            self.stale, self.fresh = self.fresh, {}
-        fresh, stale, encode = self.fresh, self.stale, self._piece
-        for p in set(chain.from_iterable(pieces)).difference(fresh):
-            fresh[p] = stale[p] if p in stale else encode(p)
-        data = []
-        for t, parts in zip(texts, pieces):
-            try:
-                if t and not parts:
-                    raise TypeError
-                data.append(b"".join(map(fresh.__getitem__, parts)))
-            except TypeError:  # a piece is None
-                data.append(b"".join(map(self.match, self.matches(t))))
-        return np.frombuffer(b"".join(data), np.int32), np.array([len(x) // 4 for x in data], np.int64)
+            parts = (self._split(t) if _NUL in t else t.split(" ")) if t else []
+            if parts and parts[0][:2] != " w":
+                parts[0] = _NUL + parts[0]
+            split.append(parts)
+        known = self.stretches.number
+        fresh = dict.fromkeys(p for p in set(chain.from_iterable(split)) if p not in known)
+        odd = {p for p in fresh if p[:1] != " " and _odd(p[1:] if p[:1] == _NUL else p)}  # never known by these names
+        if odd:
+            split = [parts if odd.isdisjoint(parts) else self._split(t) for t, parts in zip(texts, split)]
+            fresh = dict.fromkeys(p for p in set(chain.from_iterable(split)) if p not in known)
+        self._learn(list(fresh))
+        numbers = np.fromiter(map(self.stretches.number.__getitem__, chain.from_iterable(split)), np.int64)
+        count, flat = self.stretches.of(numbers)
+        ends = np.concatenate([[0], np.cumsum(count)])[np.cumsum([0, *map(len, split)])]
+        return flat, np.diff(ends)
+
+
+def _odd(part: str) -> bool:
+    """Whether a part between blanks is empty or has white space at an edge, so that it can't be encoded alone."""
+    return not part or part[0].isspace() or part[-1].isspace()
 
 
 @lru_cache(maxsize=2)
@@ -153,8 +236,7 @@ def encoder(path: str, pattern: str) -> Encoder:
 
 def _forget() -> None:
     for e in _ENCODERS.values():
-        e.fresh, e.stale = {}, {}
-        e.match.cache_clear()
+        e.forget()
 
 
 common.FORGET.append(_forget)

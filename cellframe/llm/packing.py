@@ -119,7 +119,8 @@ def pack(docs: DataFrame, path: str, pattern: str, end_id: int, length: int = LE
     A row: its ids as ``length`` little-endian 32-bit numbers (filled up with ``end_id``; rows put together are an id matrix), how
     many of them count, the position of each within its segment, the segments' cumulative lengths, and their documents with the number
     of the first id. A null or empty text is its end id alone; a null doc_id stays null; repeated rows are packed each; no row, no
-    output. ``pack_id`` numbers the rows (unique, not consecutive).
+    output. ``pack_id`` is a hash of the row's documents and ids: the same however often a partition is computed, and equal only for
+    rows with the same documents and ids.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +143,13 @@ def pack(docs: DataFrame, path: str, pattern: str, end_id: int, length: int = LE
             yield pack_batch(ids, np.concatenate(flats), np.concatenate(counts), length, end_id)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(common.tidy(run), SCHEMA)
-    return rows.select(F.monotonically_increasing_id().alias("pack_id"), "*")
+    return rows.select(F.xxhash64("doc_ids", "doc_starts", "ids").alias("pack_id"), "*")
+
+
+def fill_rate(packed: DataFrame) -> DataFrame:
+    """(rows, n_tokens, fill): how many rows there are, ids that count, and their share of all places; no rows, a null share."""
+    places = F.sum(F.octet_length("ids") / 4)
+    return packed.agg(F.count("*").alias("rows"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n_tokens"), (F.sum("n_tokens") / places).alias("fill"))
 
 
 def unpack(packed: DataFrame) -> DataFrame:
