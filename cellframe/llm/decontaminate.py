@@ -8,6 +8,8 @@ Words are compared in lower case (A-Z) with ASCII punctuation taken as white spa
    into thousands of documents is still rare by chance. Items with less than ``LEAST_SEEDS`` such n-grams use their rarest.
 3. A second pass finds the seeds, and aligns the item with the words around every seed (match 1, mismatch and gap -1). A
    passage counts as a copy if the local alignment's score reaches ``threshold`` of the item's length, or ``long_match``.
+4. Items of fewer than ``LEAST_WORDS`` words can't be told from chance by an edited copy. They are looked for as they are: a text that
+   consists of the item's words holds it, and one that has them somewhere does if they are as rare by chance as a seed has to be.
 
 The benchmark is worked off in blocks of at most about ``BLOCK_WORDS`` words, one pass over the documents each; only a block is ever
 broadcast. Nothing of the corpus but word counts reaches the driver, and no row is shuffled but these.
@@ -29,7 +31,7 @@ from cellframe.llm.registry import query
 from cellframe.llm.substring import WordHashes, rabin_karp
 
 SEED = 3
-#: Items with fewer words say nothing about a document and are left out.
+#: Items with fewer words are not aligned, only found unchanged.
 LEAST_WORDS = 5
 LEAST_SEEDS = 4
 RATE = 1e-8
@@ -96,11 +98,20 @@ class Block:
     first: np.ndarray | None = None  # places of a seed: item and offset between first[k] and first[k + 1]
     item: np.ndarray | None = None
     offset: np.ndarray | None = None
+    short: dict[int, tuple[np.ndarray, list[list[int]]]] | None = None  # by length: sorted hashes of whole items, and the items of each
+    rare: list[bool] | None = None  # of an item: found anywhere, and not just as a whole text
     state: tuple | None = None  # of a worker
 
     def choose_seeds(self, share: dict[int, float], rate: float) -> None:
         keys, items, offsets = [], [], []
+        short: dict[int, dict[int, list[int]]] = {}
+        self.rare = [False] * len(self.words)
         for i, w in enumerate(self.words):
+            if len(w) < LEAST_WORDS:
+                own = int(rabin_karp(w, len(w), _BASE)[0])
+                short.setdefault(len(w), {}).setdefault(own, []).append(i)
+                self.rare[i] = sum(np.log(max(share.get(int(x), 0.0), 1e-12)) for x in w) <= np.log(rate)
+                continue
             grams = rabin_karp(w, SEED, _BASE)
             logs = np.log([max(share.get(int(x), 0.0), 1e-12) for x in w])
             chance = sum(logs[k:len(logs) - SEED + 1 + k] for k in range(SEED))
@@ -115,6 +126,7 @@ class Block:
         by = np.lexsort((off, it, k))
         self.keys, first = np.unique(k[by].astype(np.uint64), return_index=True)
         self.first, self.item, self.offset = np.append(first, len(k)), it[by], off[by]
+        self.short = {n: (np.array(sorted(of), np.uint64), [of[k] for k in sorted(of)]) for n, of in short.items()}
 
 
 def _count_words(docs: DataFrame, blocks_words: np.ndarray, text: str) -> tuple[dict[int, float], float]:
@@ -157,12 +169,25 @@ def _passages(block: Block, item: np.ndarray, diagonal: np.ndarray) -> list[tupl
     return out
 
 
-def _score_slice(block: Block, table: Table, hashes: WordHashes, texts: list[str | None], threshold: float, long_match: int):
+def _whole_items(block: Block, tables: dict[int, Table], x: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(item, first word, end word) of the short items that a text of the word hashes ``x`` holds, the first place of each."""
+    for n, (_, items) in block.short.items():
+        if len(x) < n:
+            continue
+        for at, key in zip(*(v.tolist() for v in tables[n].find(rabin_karp(x, n, _BASE)))):
+            for i in items[key]:
+                if (block.rare[i] or len(x) == n) and (x[at:at + n] == block.words[i]).all():
+                    yield i, at, at + n
+
+
+def _score_slice(block: Block, table: Table, short: dict[int, Table], hashes: WordHashes, texts: list[str | None], threshold: float, long_match: int):
     """Per text its hits: {item: (score, first word, end word)}, the best alignment of each item."""
     hits: list[dict[int, tuple[float, int, int]]] = [{} for _ in texts]
     x = [hashes.of(plain_words(t)) for t in texts]
     wanted: dict[int, list[tuple[int, int, int]]] = {}
     for n, w in enumerate(x):
+        for i, a, b in _whole_items(block, short, w):
+            hits[n].setdefault(i, (1.0, a, b))
         if len(w) < SEED:
             continue
         at, key = table.find(rabin_karp(w, SEED, _BASE))
@@ -203,10 +228,12 @@ def with_hits(
     """``docs`` with an array ``hits`` of (item_id, score, start_word, end_word): the benchmark items each row holds a copy of.
 
     ``score`` is the alignment's score over the item's words (1: whole and unchanged), of the best place in the document;
-    word ranges count words as :func:`plain_words` does. Null and empty texts have no hits; repeated rows get the same hits; items
-    that are null, repeated or shorter than LEAST_WORDS words: the first two count as they stand, the last are left out. An empty
-    benchmark finds nothing.
+    word ranges count words as :func:`plain_words` does. Null and empty texts have no hits; repeated rows get the same hits. Items
+    shorter than LEAST_WORDS words have the score 1 where they are found; a null text or one without a word is found nowhere; repeated
+    items are found each. An empty benchmark finds nothing. Raises if a column ``hits`` exists.
     """
+    if hits.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"column exists already: {hits}")
     spark = docs.sparkSession
     items = benchmark.where("text is not null").select(F.col("item_id").cast("bigint").alias("item_id"), "text")
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -216,7 +243,7 @@ def with_hits(
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k).orderBy("item_id", "text").collect()
         own = WordHashes()
         words = [(r["item_id"], own.of(plain_words(r["text"]))) for r in part]
-        words = [(i, w) for i, w in words if len(w) >= LEAST_WORDS]
+        words = [(i, w) for i, w in words if len(w)]
         if not words:
             continue
         block = Block([i for i, _ in words], [w for _, w in words])
@@ -227,7 +254,7 @@ def with_hits(
         def run(texts, shared=shared):
             b = shared.value
             if b.state is None:
-                b.state = Table(b.keys), WordHashes()
+                b.state = Table(b.keys), {n: Table(keys) for n, (keys, _) in b.short.items()}, WordHashes()
             rows = _score_slice(b, *b.state, texts, threshold, long_match)
             out = [
                 [{"item_id": b.ids[i], "score": s, "start_word": x, "end_word": y} for i, (s, x, y) in sorted(r.items())]
