@@ -105,3 +105,14 @@ def embeddings(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("cell_id"), F.col("embedding").cast("array<double>").alias("vector"), "label"
     )
+
+
+def order_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as vectors of what was bought, in comparable units; unlike the embeddings they grow with the tables."""
+    lines = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("cell_id")).agg(
+        F.count("*").cast("double").alias("n"), F.avg("l_quantity").alias("q"), (F.avg("l_extendedprice") / 2000).alias("p"),
+        (F.avg("l_discount") * 400).alias("d"), (F.avg("l_tax") * 500).alias("t"), (F.max("l_quantity") / 2).alias("m"),
+    )
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("cell_id"), (F.col("o_totalprice") / 20000).alias("total"))
+    joined = orders.join(lines, "cell_id")
+    return joined.select("cell_id", F.array(*(F.col(c).cast("double") for c in ("n", "q", "p", "d", "t", "m", "total"))).alias("vector"))
