@@ -23,8 +23,9 @@ from cellframe.llm.registry import query
 REMEMBERED = 400_000
 REMEMBERED_CHARS = 8_000_000
 
-#: Letters in every version of Unicode, and a sign that is not white space, a letter or a number.
-_LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
+#: Letters in every version of Unicode, and perhaps a sign that is not white space, a letter or a number: two matches at most.
+_SIGNS = ".,;:!?"
+_PLAIN = re.compile(f"^[A-Za-zÀ-ÖØ-öø-ÿ]+[{_SIGNS}]?$", re.MULTILINE)
 #: In front of a text's first stretch, where no blank stands, and between the matches that the library gets together.
 _NUL = "\x00"
 
@@ -127,18 +128,20 @@ class Encoder:
     def _matches(self, text: str) -> list[str]:
         return self.find(text) if self.find else [m.group() for m in self.matcher.finditer(text)]
 
+    def _library(self, joined: str, size: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of matches joined by NULs, and how many belong to each run of ``size`` bytes."""
+        ids = np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int32)
+        until = np.searchsorted(np.cumsum(self.length[ids]), np.cumsum(size)) + 1
+        if until[-1] != len(ids):
+            raise ValueError("the vocabulary lacks some bytes")
+        return np.diff(np.append(0, until)), ids
+
     def _learn_matches(self, matches: list[str]) -> None:
         """Encodes matches that are not known yet."""
         together = [m for m in matches if _NUL not in m]
-        parts = []
-        for a in range(0, len(together), 2000):
-            part = together[a:a + 2000]
-            ids = np.array(self.library.encode_batch_fast([_NUL.join(part)], add_special_tokens=False)[0].ids, np.int32)
-            ends = np.cumsum([len(m.encode()) for m in part])
-            until = np.searchsorted(np.cumsum(self.length[ids]), ends) + 1
-            if until[-1] != len(ids):
-                raise ValueError("the vocabulary lacks some bytes")
-            parts.append((np.diff(np.append(0, until)), ids))
+        parts = [
+            self._library(_NUL.join(part), [len(m.encode()) for m in part]) for part in (together[a:a + 2000] for a in range(0, len(together), 2000))
+        ]
         alone = [m for m in matches if _NUL in m]
         for m in alone:
             mapped = m.encode().decode("latin-1").translate(self.char)
@@ -146,6 +149,17 @@ class Encoder:
             parts.append((np.array([len(ids)]), ids))
         self.matches.add([*together, *alone], parts)
 
+    def _learn_plain(self, names: list[str]) -> None:
+        """Encodes stretches of letters with or without a sign behind them, whose matches need no pattern to be found."""
+        parts = []
+        for a in range(0, len(names), 2000):
+            part = names[a:a + 2000]
+            joined = f" {f'{_NUL} '.join(part)}{_NUL}"
+            for sign in _SIGNS:
+                joined = joined.replace(f"{sign}{_NUL}", f"{_NUL}{sign}{_NUL}")
+            parts.append(self._library(joined, [len(n.encode()) + 1 for n in part]))
+        self.stretches.add(names, parts)
+
     def _ids(self, found: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """How many ids each list of matches has, and all of them."""
         known = self.matches.number
@@ -157,17 +171,15 @@ class Encoder:
 
     def _learn(self, names: list[str]) -> None:
         """Encodes stretches, named as ``_split`` does."""
+        lines = set(_PLAIN.findall("\n".join(names)))
+        self._learn_plain([n for n in names if n in lines])
+        others = [n for n in names if n not in lines]
         found = []
-        for name in names:
-            plain = _LATIN.fullmatch(name)
-            if plain:  # a match of letters, and perhaps one of a single sign
-                word, sign = plain.groups()
-                found.append([f" {word}", sign] if sign else [f" {word}"])
-            else:
-                start = name[:1]
-                text = name[1:] if start == _NUL else f" {name}" if start != " " else f" {name[2:]}" if name[1] == "m" else name[2:]
-                found.append(self._matches(text))
-        self.stretches.add(names, [self._ids(found)])
+        for name in others:
+            start = name[:1]
+            text = name[1:] if start == _NUL else f" {name}" if start != " " else f" {name[2:]}" if name[1] == "m" else name[2:]
+            found.append(self._matches(text))
+        self.stretches.add(others, [self._ids(found)])
 
     def _split(self, text: str) -> list[str]:
         """The names of the stretches of any text.
@@ -202,11 +214,11 @@ class Encoder:
                 parts[0] = _NUL + parts[0]
             split.append(parts)
         known = self.stretches.number
-        fresh = dict.fromkeys(p for p in set(chain.from_iterable(split)) if p not in known)
-        odd = {p for p in fresh if p[:1] != " " and _odd(p[1:] if p[:1] == _NUL else p)}  # never known by these names
+        fresh = set(chain.from_iterable(split)).difference(known)
+        odd = {p for p in fresh if not p.isalpha() and p[:1] != " " and _odd(p[1:] if p[:1] == _NUL else p)}  # never known by these names
         if odd:
             split = [parts if odd.isdisjoint(parts) else self._split(t) for t, parts in zip(texts, split)]
-            fresh = dict.fromkeys(p for p in set(chain.from_iterable(split)) if p not in known)
+            fresh = set(chain.from_iterable(split)).difference(known)
         self._learn(list(fresh))
         numbers = np.fromiter(map(self.stretches.number.__getitem__, chain.from_iterable(split)), np.int64)
         count, flat = self.stretches.of(numbers)
