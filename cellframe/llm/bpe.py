@@ -37,12 +37,17 @@ def _byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    """The byte strings of a file of ``base64 rank`` lines."""
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+
+
 class Vocabulary:
     """Byte strings by rank, and the byte table of the ids."""
 
     def __init__(self, path: str):
-        with open(path, "rb") as f:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.ranks = read_ranks(path)
         size = max(self.ranks.values()) + 1
         self.length = np.zeros(size, np.int64)
         for t, r in self.ranks.items():

@@ -9,6 +9,7 @@ documents meet in a row does not matter, and rows of such a batch are nearly ful
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -113,6 +114,20 @@ def pack_batch(doc_ids: list, flat: np.ndarray, counts: np.ndarray, length: int,
     ], ["n_tokens", "doc_ids", "doc_starts", "cu_seqlens", "ids", "positions"])
 
 
+@lru_cache(maxsize=2)
+def _library(path: str, pattern: str):
+    import tiktoken
+
+    return tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
+
+
+def _ids(path: str, pattern: str, texts: list[str | None], end_id: int) -> list[np.ndarray]:
+    """The ids of each text, and the end id behind them."""
+    encode = _library(path, pattern).encode_to_numpy
+    end = np.array([end_id], np.int32)
+    return [np.concatenate([encode(t, disallowed_special=()).astype(np.int32), end]) if t else end for t in texts]
+
+
 def pack(docs: DataFrame, path: str, pattern: str, end_id: int, length: int = LENGTH, batch_ids: int = BATCH_IDS) -> DataFrame:
     """Packed rows of all ids of ``docs`` (doc_id, text), each document's followed by ``end_id``.
 
@@ -124,18 +139,17 @@ def pack(docs: DataFrame, path: str, pattern: str, end_id: int, length: int = LE
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = bpe.encoder(path, pattern)
         ids: list = []
         flats: list[np.ndarray] = []
         counts: list[np.ndarray] = []
         held = 0
         for batch in batches:
             for part in common.parts(batch, 1):
-                flat, n = encoder.encode(part.column(1).to_pylist())
-                flats.append(np.insert(flat, np.cumsum(n), end_id))
-                counts.append(n + 1)
+                each = _ids(path, pattern, part.column(1).to_pylist(), end_id)
+                flats += each
+                counts.append(np.array([len(x) for x in each], np.int64))
                 ids += part.column(0).to_pylist()
-                held += len(flats[-1])
+                held += int(counts[-1].sum())
                 if held >= batch_ids:
                     yield pack_batch(ids, np.concatenate(flats), np.concatenate(counts), length, end_id)
                     ids, flats, counts, held = [], [], [], 0
