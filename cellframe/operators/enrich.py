@@ -9,13 +9,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_MLM_SOURCES = 4096
-MAX_NET_ROWS = 5_000_000
+from cellframe.session import store
+
+#: All models of one call, matrices of (sources + 1) squared doubles, may take so many bytes on the driver and in each worker.
+MAX_MODEL_BYTES = 512 * 1024 * 1024
 
 
 def _named(net: DataFrame) -> DataFrame:
@@ -40,33 +42,37 @@ def check_no_repeats(net: DataFrame) -> None:
         raise ValueError(f"repeated network edges: {[tuple(r)[:-1] for r in bad]}")
 
 
-def _cell_sums(expr: DataFrame, net: DataFrame, value: str) -> DataFrame:
-    """Per cell: ``sy``, ``syy`` and a map (net_name, source) -> sum of weight * value.
+def _catalog(net: DataFrame) -> DataFrame:
+    """(net_name, source, j, sx, sxx): the sources numbered 0, 1, ... by name, with the sums of their weights and squares."""
+    sums = net.groupBy("net_name", "source").agg(F.sum("weight").alias("sx"), F.sum(F.col("weight") * F.col("weight")).alias("sxx"))
+    return sums.withColumn("j", F.row_number().over(Window.orderBy("net_name", "source")) - 1)
+
+
+def _cell_sums(expr: DataFrame, net: DataFrame, catalog: DataFrame, width: Column, value: str) -> DataFrame:
+    """Per cell: ``sy``, ``syy`` and the array ``sxy`` with the sum of weight * value of each source, at its number.
 
     The network is packed to one row per gene, so the expression table meets it in one equi join. Every
-    row also feeds a marker entry that carries the cell totals, so one aggregate by (cell, source) and one
-    by cell serve all three results; on a table already hashed by cell neither shuffles.
+    row also feeds an entry numbered -1 that carries the cell totals, so one aggregate by (cell, source) and one
+    by cell serve all three results; on a table already hashed by cell neither shuffles. The array is filled up with zeros between the
+    sources a cell has, in one pass over them.
     """
-    key = F.struct("net_name", "source")
-    packed = net.groupBy("gene_id").agg(
-        F.collect_list(F.struct(key.alias("s"), F.col("weight").alias("w"))).alias("_hits")
-    )
-    entry = "array<struct<s:struct<net_name:string,source:string>,w:double>>"
-    totals = F.expr(f"cast(array(named_struct('s', null, 'w', 1.0D)) as {entry})")
+    numbered = net.join(catalog.select("net_name", "source", "j"), ["net_name", "source"])
+    packed = numbered.groupBy("gene_id").agg(F.collect_list(F.struct("j", F.col("weight").alias("w"))).alias("_hits"))
+    entry = "array<struct<j:int,w:double>>"
+    totals = F.expr(f"cast(array(named_struct('j', -1, 'w', 1.0D)) as {entry})")
     hits = F.concat(totals, F.coalesce(F.col("_hits").cast(entry), F.array().cast(entry)))
     y = F.col(value)
     spread = expr.join(packed, "gene_id", "left").select("cell_id", y.alias("_y"), F.explode(hits).alias("_e"))
-    per_source = spread.groupBy("cell_id", F.col("_e.s").alias("_s")).agg(
-        F.sum(F.col("_y") * F.col("_e.w")).alias("_sxy"), F.sum(F.col("_y") * F.col("_y")).alias("_syy")
-    )
-    is_total = F.col("_s").isNull()
-    return per_source.groupBy("cell_id").agg(
-        F.max(F.when(is_total, F.col("_sxy"))).alias("sy"),
-        F.max(F.when(is_total, F.col("_syy"))).alias("syy"),
-        F.map_from_entries(
-            F.collect_list(F.when(~is_total, F.struct(F.col("_s"), F.col("_sxy"))))
-        ).alias("sxy"),
+    per_source = spread.groupBy("cell_id", F.col("_e.j").alias("j")).agg(
+        F.sum(F.col("_y") * F.col("_e.w")).alias("s"), F.sum(F.col("_y") * F.col("_y")).alias("_syy")
     )
+    by_cell = per_source.groupBy("cell_id").agg(
+        F.max(F.when(F.col("j") < 0, F.col("s"))).alias("sy"), F.max(F.when(F.col("j") < 0, F.col("_syy"))).alias("syy"),
+        F.sort_array(F.collect_list(F.struct("j", "s"))).alias("e"),
+    ).withColumn("_width", width)
+    following = F.concat(F.transform(F.slice("e", 2, F.size("e")), lambda x: x["j"]), F.array("_width"))
+    pieces = F.zip_with("e", following, lambda x, nxt: F.concat(F.array(x["s"]), F.array_repeat(F.lit(0.0), nxt - x["j"] - 1)))
+    return by_cell.select("cell_id", "sy", "syy", F.slice(F.flatten(pieces), F.lit(2), F.col("_width")).alias("sxy"))
 
 
 def ulm_scores(
@@ -79,117 +85,124 @@ def ulm_scores(
     """
     net_kept = _named(usable_net(net, genes, tmin))
     n_genes = genes.agg(F.count_distinct("gene_id")).scalar()
-    sources = net_kept.groupBy("net_name", "source").agg(
-        F.sum("weight").alias("sx"), F.sum(F.col("weight") * F.col("weight")).alias("sxx")
+    catalog = _catalog(net_kept)
+    # A scalar array of one entry per source, exploded per cell next to the cell's sums: the output size itself, no join.
+    names = catalog.agg(F.sort_array(F.collect_list(F.struct("j", "net_name", "source", "sx", "sxx")))).scalar()
+    width = catalog.agg(F.count("*").cast("int")).scalar()
+    sums = cells.select("cell_id").join(_cell_sums(expr, net_kept, catalog, width, value), "cell_id", "left")
+    filled = F.coalesce("sxy", F.transform("_names", lambda _: F.lit(0.0)))
+    rows = sums.withColumn("_g", n_genes.cast("double")).withColumn("_names", names).select(
+        "cell_id", "sy", "syy", "_g", F.inline(F.arrays_zip(F.col("_names").alias("n"), filled.alias("xy")))
     )
-    # A scalar array of one entry per source, exploded per cell: the output size itself, no join.
-    catalog = sources.agg(F.collect_list(F.struct("net_name", "source", "sx", "sxx"))).scalar()
-    sums = cells.select("cell_id").join(_cell_sums(expr, net_kept, value), "cell_id", "left")
-    rows = sums.withColumn("_g", n_genes.cast("double")).select("*", F.inline_outer(catalog))
-    g = F.col("_g")
-    sxy = F.coalesce(F.try_element_at("sxy", F.struct("net_name", "source")), F.lit(0.0)) - F.col("sx") * F.col("sy") / g
-    vx = F.col("sxx") - F.col("sx") * F.col("sx") / g
+    g, sx = F.col("_g"), F.col("n.sx")
+    sxy = F.col("xy") - sx * F.col("sy") / g
+    vx = F.col("n.sxx") - sx * sx / g
     vy = F.col("syy") - F.col("sy") * F.col("sy") / g
     r = F.when((vx > 0) & (vy > 0), sxy / F.sqrt(vx * vy))
-    rows = rows.where(F.col("source").isNotNull()).select("cell_id", "net_name", "source", g.alias("_g"), r.alias("_r"))
+    rows = rows.select("cell_id", "n.net_name", "n.source", g.alias("_g"), r.alias("_r"))
     rest = (1 - F.col("_r")) * (1 + F.col("_r"))
     score = F.when(rest > 0, F.col("_r") * F.sqrt((F.col("_g") - 2) / rest))
     out = rows.select("cell_id", "net_name", "source", score.alias("score"))
     return out if "net_name" in net.columns else out.drop("net_name")
 
 
-def _mlm_inverse(edges: list, n_genes: int, name: str) -> tuple[list[str], np.ndarray]:
-    """Sources in order and (AᵀA)⁻¹ of the model matrix with intercept, from the network rows alone."""
-    sources = sorted({e["source"] for e in edges})
-    if len(sources) > MAX_MLM_SOURCES:
-        raise ValueError(f"{len(sources)} sources exceed the {MAX_MLM_SOURCES} one model may hold")
+def _overlaps(net: DataFrame, catalog: DataFrame) -> DataFrame:
+    """(i, j, s): products of weights over shared targets of any two sources of one network, i <= j."""
+    numbered = net.join(catalog.select("net_name", "source", "j"), ["net_name", "source"]).select("net_name", "gene_id", "j", "weight")
+    other = numbered.select("net_name", "gene_id", F.col("j").alias("i"), F.col("weight").alias("_w"))
+    met = numbered.join(other, ["net_name", "gene_id"]).where("i <= j")
+    return met.groupBy("i", "j").agg(F.sum(F.col("weight") * F.col("_w")).alias("s"))
+
+
+def _mlm_inverse(sources: list[str], gram: np.ndarray, name: str) -> np.ndarray:
+    """The inverse of the Gram matrix of intercept and sources."""
+    n_genes = int(gram[0, 0])
     if n_genes <= len(sources) + 1:
         raise ValueError(f"{n_genes} genes leave no degree of freedom for {len(sources)} sources")
-    at = {s: i + 1 for i, s in enumerate(sources)}
-    gram = np.zeros((len(sources) + 1,) * 2)
-    gram[0, 0] = n_genes
-    frame = pd.DataFrame({
-        "gene": [e["gene_id"] for e in edges], "j": [at[e["source"]] for e in edges],
-        "w": [e["weight"] for e in edges],
-    })
-    for _, part in frame.groupby("gene", sort=False):
-        j, w = part["j"].to_numpy(), part["w"].to_numpy()
-        gram[np.ix_(j, j)] += np.outer(w, w)
-        gram[0, j] += w
-        gram[j, 0] += w
     scale = 1 / np.sqrt(np.diag(gram))
     scaled = gram * scale[:, None] * scale[None, :]
     values, vectors = np.linalg.eigh(scaled)
     if values[0] < 1e-10:
         involved = [s for s, v in zip(["intercept", *sources], np.abs(vectors[:, 0])) if v > 0.1]
         raise ValueError(f"network {name!r}: linearly dependent sources {involved[:10]}")
-    return sources, np.linalg.inv(scaled) * scale[:, None] * scale[None, :]
+    return np.linalg.inv(scaled) * scale[:, None] * scale[None, :]
+
+
+def _models(net: DataFrame, catalog: DataFrame, n_genes: int, max_bytes: int) -> list[tuple[str, list[str], np.ndarray]]:
+    """(net_name, sources, inverse) of each network. Spark makes the matrices; no row of a network comes to the driver."""
+    names = catalog.orderBy("j").collect()
+    groups: dict[str, list] = {}
+    for r in names:
+        groups.setdefault(r["net_name"], []).append(r)
+    need = sum(8 * (len(g) + 1) ** 2 for g in groups.values())
+    if need > max_bytes:
+        raise ValueError(f"models of {', '.join(str(len(g)) for g in groups.values())} sources take {need} bytes, more than {max_bytes}")
+    cells = _overlaps(net, catalog).toArrow()
+    i, j, s = (cells.column(c).to_numpy() for c in ("i", "j", "s"))
+    out, first = [], 0
+    for name, rows in groups.items():
+        gram = np.zeros((len(rows) + 1,) * 2)
+        gram[0, 0] = n_genes
+        gram[0, 1:] = gram[1:, 0] = [r["sx"] for r in rows]
+        own = (i >= first) & (i < first + len(rows))
+        gram[i[own] - first + 1, j[own] - first + 1] = gram[j[own] - first + 1, i[own] - first + 1] = s[own]
+        out.append((name, [r["source"] for r in rows], _mlm_inverse([r["source"] for r in rows], gram, name)))
+        first += len(rows)
+    return out
 
 
 def mlm_scores(
     expr: DataFrame, cells: DataFrame, genes: DataFrame, net: DataFrame,
-    tmin: int = 2, value: str = "lognorm",
+    tmin: int = 2, value: str = "lognorm", max_bytes: int = MAX_MODEL_BYTES,
 ) -> DataFrame:
     """``(cell_id[, net_name], source, score)``: t-value of each source in one joint model with intercept.
 
-    The model matrix is the same for all cells. Only the (sources + 1)² inverse, whose size is checked, is
-    formed on the driver; the per-cell right-hand sides are aggregated in Spark and multiplied in Arrow
-    batches.
+    The model matrix is the same for all cells: its products come from a join of the network with itself on the target. Only the
+    (sources + 1)² inverse of each network is formed on the driver and broadcast, and all of them may take ``max_bytes``. The per-cell
+    right-hand sides are arrays that Spark has made, multiplied in Arrow batches.
     """
     usable = _named(usable_net(net, genes, tmin))
     n_genes = genes.select("gene_id").distinct().count()
-    edges = usable.limit(MAX_NET_ROWS + 1).collect()
-    if len(edges) > MAX_NET_ROWS:
-        raise ValueError(f"network has more than {MAX_NET_ROWS} usable edges")
-    models = []
-    for name in sorted({e["net_name"] for e in edges}):
-        sources, inverse = _mlm_inverse([e for e in edges if e["net_name"] == name], n_genes, name)
-        models.append((name, sources, inverse))
-    sums = cells.select("cell_id").join(_cell_sums(expr, usable, value), "cell_id", "left")
-    catalog = [(name, s) for name, sources, _ in models for s in sources]
+    catalog = store(_catalog(usable))
+    models = _models(usable, catalog, n_genes, max_bytes)
+    names = [(name, s) for name, sources, _ in models for s in sources]
+    width = len(names)
+    sums = cells.select("cell_id").join(_cell_sums(expr, usable, catalog, F.lit(width), value), "cell_id", "left")
     schema = T.StructType([
         sums.schema["cell_id"], T.StructField("net_name", T.StringType()),
         T.StructField("source", T.StringType()), T.StructField("score", T.DoubleType()),
     ])
-    if not catalog:
+    if not names:
         return expr.sparkSession.createDataFrame([], schema)
-    wide = sums.select(
+    shared = expr.sparkSession.sparkContext.broadcast(models)
+    right = sums.select(
         "cell_id", F.coalesce("sy", F.lit(0.0)).alias("sy"), F.coalesce("syy", F.lit(0.0)).alias("syy"),
-        F.map_values("sxy").alias("v"),
-        F.transform(
-            F.map_keys("sxy"), lambda k: F.concat_ws("\u0001", k["net_name"], k["source"])
-        ).alias("k"),
+        F.coalesce("sxy", F.array_repeat(F.lit(0.0), width)).alias("sxy"),
     )
-    at = {f"{name}\u0001{s}": i for i, (name, s) in enumerate(catalog)}
-    width = len(catalog)
-    shared = expr.sparkSession.sparkContext.broadcast(models)
 
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            right = np.zeros((len(pdf), width))
-            for i, (keys, values) in enumerate(zip(pdf["k"], pdf["v"])):
-                if keys is not None and len(keys):
-                    right[i, [at[k] for k in keys]] = values
-            scores = []
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sy, syy = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("sy", "syy"))
+            xy = batch.column("sxy").flatten().to_numpy(zero_copy_only=False).reshape(len(sy), width)
+            scores = np.empty((len(sy), width))
             first = 0
             for _, sources, inverse in shared.value:
-                v = np.column_stack([pdf["sy"].to_numpy(), right[:, first:first + len(sources)]])
+                v = np.column_stack([sy, xy[:, first:first + len(sources)]])
                 beta = v @ inverse
-                rss = np.maximum(pdf["syy"].to_numpy() - (beta * v).sum(axis=1), 0.0)
-                dof = n_genes - len(sources) - 1
-                error = np.sqrt(np.diag(inverse)[None, :] * rss[:, None] / dof)
+                rss = np.maximum(syy - (beta * v).sum(axis=1), 0.0)
+                error = np.sqrt(np.diag(inverse)[None, :] * rss[:, None] / (n_genes - len(sources) - 1))
                 with np.errstate(divide="ignore", invalid="ignore"):
                     t = np.where(error > 0, beta / error, np.nan)
-                scores.append(t[:, 1:])
+                scores[:, first:first + len(sources)] = t[:, 1:]
                 first += len(sources)
-            yield pd.DataFrame({"cell_id": pdf["cell_id"], "scores": list(np.concatenate(scores, axis=1))})
-
-    packed = wide.mapInPandas(solve, T.StructType([
-        sums.schema["cell_id"], T.StructField("scores", T.ArrayType(T.DoubleType())),
-    ]))
-    names = F.array(*[F.struct(F.lit(n).alias("net_name"), F.lit(s).alias("source")) for n, s in catalog])
-    out = packed.select("cell_id", F.inline(F.arrays_zip(names.alias("n"), F.col("scores").alias("score"))))
-    out = out.select("cell_id", "n.net_name", "n.source", F.nanvl("score", F.lit(None)).alias("score"))
+            flat = pa.array(scores.ravel())
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sy) + 1, dtype=np.int32) * width), flat)
+            yield pa.RecordBatch.from_arrays([batch.column("cell_id"), lists], ["cell_id", "scores"])
+
+    packed = right.mapInArrow(solve, T.StructType([sums.schema["cell_id"], T.StructField("scores", T.ArrayType(T.DoubleType()))]))
+    listed = catalog.agg(F.sort_array(F.collect_list(F.struct("j", "net_name", "source")))).scalar()
+    rows = packed.withColumn("_names", listed).select("cell_id", F.inline(F.arrays_zip(F.col("_names").alias("n"), F.col("scores").alias("score"))))
+    out = rows.select("cell_id", "n.net_name", "n.source", F.nanvl("score", F.lit(None)).alias("score"))
     return out if "net_name" in net.columns else out.drop("net_name")
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellframe.functions.exprs import box, box_iou
+from cellframe.session import store
+from cellframe.sources.dataset import exists, tables, update_partitions
 
 MAX_RANKED = 10_000
 WINDOW_FRACTIONS = (0.15, 0.2, 0.25, 0.3, 0.35, 0.4)
@@ -169,22 +171,42 @@ def _far_apart(a, b, min_distance: float, max_iou: float) -> bool:
     return w * h / (sum(areas) - w * h) <= max_iou
 
 
-def export_regions(points: DataFrame, rois: DataFrame, folder: str, metadata: dict[str, str] | None = None) -> DataFrame:
-    """Write the cells of all regions in one pass, one partition folder per region; return the manifest.
+def export_regions(
+    points: DataFrame, rois: DataFrame, folder: str, metadata: dict[str, str] | None = None, min_cells: int = 1,
+    max_cells: int | None = None, overwrite: bool = False,
+) -> DataFrame:
+    """Write the cells of all regions in one pass, one partition folder per region; return the manifest of those written.
 
-    Metadata is added only where the cells lack the column.
+    A region is passed over if it has fewer than ``min_cells`` or more than ``max_cells`` cells, or if its folder exists and
+    ``overwrite`` is off. The table ``attempts`` has every region with ``export_ok``, ``export_message`` and ``export_n_cells``. Metadata is
+    added to the cells only where they lack the column.
     """
+    spark = points.sparkSession
     cells = cells_in_boxes(points, rois)
     for name, value in (metadata or {}).items():
         if name not in cells.columns:
             cells = cells.withColumn(name, F.lit(value))
     path = f"{folder}/rois"
-    cells.write.partitionBy("roi_id").mode("overwrite").parquet(path)
-    counts = points.sparkSession.read.parquet(path).groupBy("roi_id").agg(F.count("*").alias("n_cells"))
-    manifest = counts.select(
-        F.col("roi_id").alias("sample"), F.concat(F.lit(f"{path}/roi_id="), "roi_id").alias("path"),
-        *[F.lit(v).alias(k) for k, v in (metadata or {}).items()], "roi_id", "n_cells",
+    there = [f.removeprefix("roi_id=") for f in tables(spark, path)] if exists(spark, path) else []
+    n = F.coalesce("_n", F.lit(0))
+    in_range = n >= min_cells if max_cells is None else n.between(min_cells, max_cells)
+    blocked = F.lit(False) if overwrite or not there else F.col("roi_id").isin(there)
+    place = F.concat(F.lit(f"{path}/roi_id="), "roi_id")
+    message = F.when(~in_range, F.concat(F.lit("ROI cell count out of range: "), n.cast("string"))).when(
+        blocked, F.concat(F.lit("Output exists: "), place)
+    ).otherwise("ok")
+    counts = cells.groupBy("roi_id").agg(F.count("*").alias("_n"))
+    extra = {k: F.lit(v) for k, v in (metadata or {}).items() if k not in rois.columns}
+    attempts = store(rois.join(counts, "roi_id", "left").select(
+        *rois.columns, place.alias("roi_path"), (message == "ok").alias("export_ok"), message.alias("export_message"),
+        n.alias("export_n_cells"), *(v.alias(k) for k, v in extra.items()),
+    ))
+    accepted = attempts.where("export_ok")
+    update_partitions(cells.join(accepted.select("roi_id"), "roi_id", "left_semi"), folder, "rois", ["roi_id"])
+    manifest = accepted.select(
+        F.col("roi_id").alias("sample"), F.col("roi_path").alias("path"),
+        *[F.lit(v).alias(k) for k, v in (metadata or {}).items()], "roi_id", F.col("export_n_cells").alias("n_cells"),
     )
-    rois.write.mode("overwrite").csv(f"{folder}/attempts", header=True)
+    attempts.write.mode("overwrite").csv(f"{folder}/attempts", header=True)
     manifest.write.mode("overwrite").csv(f"{folder}/manifest", header=True)
     return manifest

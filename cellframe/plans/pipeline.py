@@ -7,8 +7,9 @@ copied) and ``inplace``. With ``resume`` a stage whose result is already there d
 from __future__ import annotations
 
 import warnings
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellframe.functions import params
@@ -75,16 +76,21 @@ def normalize(
 ) -> str:
     """QC columns and top-gene shares, cell and gene filters, depth scaling with log1p, variable genes.
 
-    Results of later stages on the old cells are dropped.
+    The medians of the QC columns over all cells go to the table ``qc_medians``. If genes and counts carry a column ``feature``, genes of
+    one name but different features are told apart by suffixes; without it, rows of one name are one gene. Results of later stages on
+    the old cells are dropped.
     """
-    own = ("cells", "genes", "expr")
+    own = ("cells", "genes", "expr", "qc_medians")
     target = _target(spark, root, output, inplace, resume, skip=(*own, *_DERIVED))
     if resume and _has(spark, target, "expr", "lognorm"):
         return target
-    parts = ds.open_dataset(spark, root, list(own))
-    flagged = qc.flag_genes(parts["genes"].select("gene_id").distinct())
-    raw = parts["expr"].select("cell_id", "gene_id", "value")
-    cells = _with_columns(parts["cells"], qc.cell_qc(raw, parts["cells"]))
+    parts = ds.open_dataset(spark, root, ["cells", "genes", "expr"])
+    names, raw = _named_apart(parts["genes"], parts["expr"])
+    flagged = qc.flag_genes(names)
+    per_cell = store(qc.cell_qc(raw, parts["cells"]))
+    shares = qc.top_gene_share(raw, qc.top_share_sizes(names.count()))
+    cells = _with_columns(_with_columns(parts["cells"], per_cell), shares)
+    ds.write_table(qc.qc_medians(per_cell), target, "qc_medians")
     genes = flagged.join(qc.gene_qc(raw, flagged, parts["cells"].count()), "gene_id")
     kept = store(qc.filter_cells_and_genes(raw, min_genes, min_cells))
     cells = store(cells.where(F.col("n_genes_by_counts") >= min_genes))
@@ -99,22 +105,36 @@ def normalize(
     return target
 
 
+def _named_apart(genes: DataFrame, expr: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(gene_id) and (cell_id, gene_id, value) in which a gene's name is its own."""
+    if "feature" not in genes.columns or "feature" not in expr.columns:
+        return genes.select("gene_id").distinct(), expr.select("cell_id", "gene_id", "value")
+    known = genes.select("feature", "gene_id").distinct()
+    order = Window.orderBy("feature")  # of the genes, a bounded table
+    named = store(qc.unique_names(known.withColumn("_at", F.row_number().over(order)), "gene_id", "_at").select("feature", "gene_id"))
+    return named.select("gene_id"), expr.drop("gene_id").join(named, "feature").select("cell_id", "gene_id", "value")
+
+
 def cluster(
     spark: SparkSession, root: str, output: str | None = None, inplace: bool = False, resolutions: str = "0.2,0.5,1.0",
-    n_comps: int = 50, n_neighbors: int = 15, n_epochs: int = 200, resume: bool = False,
+    n_comps: int = 50, n_neighbors: int = 15, n_epochs: int = 200, resume: bool = False, knn_method: str = "exact",
+    solver: str | None = None,
 ) -> str:
-    """PCA of the variable genes, neighbour graph, 2-D layout and communities at several resolutions."""
+    """PCA of the variable genes, neighbour graph, 2-D layout and communities at several resolutions.
+
+    ``knn_method`` and ``solver`` as in ``nearest.knn_vectors`` and ``embed.pca``.
+    """
     wanted = params.parse_resolutions(resolutions)
     target = _target(spark, root, output, inplace, resume)
     parts = ds.open_dataset(spark, target, ["cells", "genes", "expr"])
     if not (resume and _has(spark, target, "pca")):
         chosen = parts["genes"].where("highly_variable") if "highly_variable" in parts["genes"].columns else parts["genes"]
-        out = embed.pca(parts["expr"], parts["cells"], chosen, n_comps)
+        out = embed.pca(parts["expr"], parts["cells"], chosen, n_comps, solver=solver)
         for name, table in (("pca", out["embedding"]), ("pca_loadings", out["loadings"]), ("pca_variance", out["variance"])):
             ds.write_table(table, target, name)
     vectors = ds.read_table(spark, target, "pca")
     if not (resume and _has(spark, target, "umap")):
-        knn = store(nearest.knn_vectors(vectors, n_neighbors))
+        knn = store(nearest.knn_vectors(vectors, n_neighbors, knn_method))
         graph = nearest.fuzzy_graph(knn, n_neighbors)
         distances = knn.select("src", F.col("dst"), F.lit(None).cast("double").alias("weight"), "distance")
         rows = graph.withColumn("distance", F.lit(None).cast("double"))
@@ -154,12 +174,13 @@ def quantitate(
         several = mk.read_resources(spark, resources or {}, names, **panglao)
         for name in names:
             nets[name.lower()] = several.where(F.col("net_name") == name.lower()).drop("net_name")
-    for name, net in nets.items():
-        key = f"score_{method}_{name}"
-        if resume and _has(spark, target, f"scores/score_key={key}"):
-            continue
-        scores = enrich.enrichment_scores(parts["expr"], parts["cells"], parts["genes"], net, method, tmin, mask=mask)
-        _add_keyed(scores, target, "scores", "score_key", key)
+    todo = {n: f"score_{method}_{n}" for n in nets if not (resume and _has(spark, target, f"scores/score_key=score_{method}_{n}"))}
+    if todo:  # all resources in one pass over the counts
+        weight = lambda net: F.col("weight").cast("double") if "weight" in net.columns else F.lit(1.0)
+        together = [nets[n].select(F.lit(n).alias("net_name"), "source", "target", weight(nets[n]).alias("weight")) for n in todo]
+        scores = enrich.enrichment_scores(parts["expr"], parts["cells"], parts["genes"], reduce(DataFrame.unionByName, together), method, tmin, mask=mask)
+        keys = F.concat(F.lit(f"score_{method}_"), "net_name")
+        ds.update_partitions(scores.withColumn("score_key", keys).drop("net_name"), target, "scores", ["score_key"])
     return target
 
 
@@ -226,15 +247,21 @@ def differential_tests(
 def spatial_neighbors(
     spark: SparkSession, root: str, output: str | None = None, inplace: bool = False, n_neighs: int = 6,
     radius: str | None = None, library: str | None = None, coord_type: str | None = None, transform: str | None = None,
-    key: str = "spatial", resume: bool = False,
+    key: str = "spatial", resume: bool = False, library_id: str | None = None,
 ) -> str:
-    """Spatial graph over the cell coordinates, stored under ``key``."""
+    """Spatial graph over the cell coordinates, stored under ``key``.
+
+    ``library`` names the column of the cells' libraries; without it, ``library_id`` is the one library of all cells.
+    """
     target = _target(spark, root, output, inplace, resume)
     if resume and _has(spark, target, f"edges/graph_key={key}"):
         return target
     cells = ds.read_table(spark, target, "cells")
     if library is not None and library not in cells.columns:
         raise ValueError(f"no cell attribute {library!r}; available: {cells.columns}")
+    if library is None and library_id is not None:
+        library = "_library"
+        cells = cells.withColumn(library, F.lit(library_id))
     vertices = ds.read_table(spark, target, "boundaries") if _has(spark, target, "boundaries") else None
     points = spatial.with_coordinates(cells, vertices)
     edges = spatial.neighbor_graph(points, n_neighs, params.parse_radius(radius), library, coord_type, transform)
@@ -251,7 +278,8 @@ def spatial_cluster(
     """Cluster cells by the cell types around them; k-means sweep or density clustering.
 
     Without a stored graph, one with ``neighbor_k`` neighbours (within each ``library``) is built if that is positive. Without
-    ``normalize`` cells are clustered by counts instead of shares.
+    ``normalize`` cells are clustered by counts instead of shares. Next to the result stand the run's parameters (``<column>_params``)
+    and the types in the order of the vectors (``<column>_categories``).
     """
     if method not in ("kmeans", "hdbscan"):
         raise ValueError("method is 'kmeans' or 'hdbscan'")
@@ -269,7 +297,17 @@ def spatial_cluster(
         spatial_neighbors(spark, target, inplace=True, n_neighs=neighbor_k, library=library, key=graph_key, coord_type="generic")
     edges = ds.read_table(spark, target, "edges").where(F.col("graph_key") == graph_key)
     composed = store(neighborhood.composition(edges, cells, cell_type, include_self, normalize))
-    vectors = store(neighborhood.composition_vectors(composed, cells, neighborhood.categories(cells, cell_type)))
+    types = neighborhood.categories(cells, cell_type)
+    vectors = store(neighborhood.composition_vectors(composed, cells, types))
+    run = {
+        "cell_type": cell_type, "graph_key": graph_key, "neighbor_k": neighbor_k, "method": method, "include_self": include_self,
+        "min_clusters": min_clusters, "max_clusters": max_clusters, "normalize": normalize, "library": library,
+        "force_n_clusters": force_n_clusters, "n_init": n_init, "seed": seed, **hdbscan_options,
+    }
+    given = [(k, None if v is None else str(v)) for k, v in run.items()]
+    ds.write_table(spark.createDataFrame(given, "name string, value string"), target, f"{column}_params")
+    listed = spark.createDataFrame(list(enumerate(map(str, types))), "position int, cell_type string")
+    ds.write_table(listed, target, f"{column}_categories")
     if method == "kmeans":
         out = kmeans.kmeans_sweep(vectors, min_clusters, max_clusters, force_n_clusters, n_init, seed)
         ds.write_table(out["sweep"], target, f"{column}_sweep")

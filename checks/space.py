@@ -259,4 +259,4 @@ def region_export(spark, sf):
         (9000.0 + k * 20).alias("y_min"), (9600.0 + k * 20).alias("y_max"),
     )
     folder = f"{scratch_root(spark)}/cellframe-{spark.sparkContext.applicationId}/regions"
-    return roi.export_regions(t.points(spark, sf), boxes, folder, {"status": "all"}).drop("path")
+    return roi.export_regions(t.points(spark, sf), boxes, folder, {"status": "all"}, overwrite=True).drop("path")
