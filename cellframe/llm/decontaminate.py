@@ -38,6 +38,7 @@ RATE = 1e-8
 THRESHOLD = 0.5
 LONG_MATCH = 30
 BLOCK_WORDS = 1_000_000
+REMEMBERED = 400_000  # words whose hashes a worker keeps
 
 _FLAT = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256)).lower()
 _BASE = 1_240_013_777_231_899_447
@@ -135,11 +136,11 @@ def _count_words(docs: DataFrame, blocks_words: np.ndarray, text: str) -> tuple[
     vocabulary = spark.sparkContext.broadcast(blocks_words)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, hashes = Table(vocabulary.value), WordHashes()
+        table, hashes = Table(vocabulary.value), WordHashes(REMEMBERED)
         n, total = np.zeros(len(table.keys), np.int64), 0
         for batch in batches:
-            for t in batch.column(0):
-                x = hashes.of(plain_words(t.as_py()))
+            for part in common.parts(batch, 0):
+                x = np.concatenate([hashes.of(plain_words(t)) for t in part.column(0).to_pylist()])
                 total += len(x)
                 n += np.bincount(table.find(x)[1], minlength=len(n))
         at = np.flatnonzero(n)
@@ -185,19 +186,25 @@ def _score_slice(block: Block, table: Table, short: dict[int, Table], hashes: Wo
     hits: list[dict[int, tuple[float, int, int]]] = [{} for _ in texts]
     x = [hashes.of(plain_words(t)) for t in texts]
     wanted: dict[int, list[tuple[int, int, int]]] = {}
-    for n, w in enumerate(x):
-        for i, a, b in _whole_items(block, short, w):
-            hits[n].setdefault(i, (1.0, a, b))
-        if len(w) < SEED:
-            continue
-        at, key = table.find(rabin_karp(w, SEED, _BASE))
-        if not len(at):
-            continue
-        many = block.first[key + 1] - block.first[key]
-        place = common.ragged(block.first[key], many)
-        found = np.unique(np.stack([block.item[place], np.repeat(at, many) - block.offset[place]]), axis=1)
+    if block.short:
+        for n, w in enumerate(x):
+            for i, a, b in _whole_items(block, short, w):
+                hits[n].setdefault(i, (1.0, a, b))
+    size = np.array([len(w) for w in x], np.int64)
+    start = np.cumsum(size) - size
+    flat = np.concatenate(x) if x else np.zeros(0, np.uint64)
+    at, key = table.find(rabin_karp(flat, SEED, _BASE)) if len(flat) >= SEED else (size[:0], size[:0])
+    doc = np.searchsorted(start, at, side="right") - 1
+    whole = at + SEED <= start[doc] + size[doc]  # not over the end of a text
+    at, key, doc = at[whole], key[whole], doc[whole]
+    cuts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else size[:0]
+    for lo, hi in zip(cuts.tolist(), np.append(cuts[1:], len(doc)).tolist()):
+        n, k = int(doc[lo]), key[lo:hi]
+        many = block.first[k + 1] - block.first[k]
+        place = common.ragged(block.first[k], many)
+        found = np.unique(np.stack([block.item[place], np.repeat(at[lo:hi] - start[n], many) - block.offset[place]]), axis=1)
         for i, a, b in _passages(block, *found):
-            wanted.setdefault(i, []).append((n, max(a, 0), min(b, len(w))))
+            wanted.setdefault(i, []).append((n, max(a, 0), min(b, len(x[n]))))
     for i, parts in wanted.items():
         word = block.words[i]
         least = min(threshold * len(word), long_match)
@@ -254,7 +261,7 @@ def with_hits(
         def run(texts, shared=shared):
             b = shared.value
             if b.state is None:
-                b.state = Table(b.keys), {n: Table(keys) for n, (keys, _) in b.short.items()}, WordHashes()
+                b.state = Table(b.keys), {n: Table(keys) for n, (keys, _) in b.short.items()}, WordHashes(REMEMBERED)
             rows = _score_slice(b, *b.state, texts, threshold, long_match)
             out = [
                 [{"item_id": b.ids[i], "score": s, "start_word": x, "end_word": y} for i, (s, x, y) in sorted(r.items())]
