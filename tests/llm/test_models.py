@@ -394,9 +394,9 @@ def test_pipeline_of_messy_and_empty_documents(spark, docs, tmp_path):
 def test_every_query_runs_on_the_smallest_tables(spark, sf_small):
     from cellframe.llm.queries import QUERIES
 
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
-    rows = {q: f(spark, sf_small).count() for q, f in QUERIES.items() if not q.startswith(("op6", "op10", "op7"))}
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
+    rows = {q: f(spark, sf_small).count() for q, f in QUERIES.items() if not q.startswith(("op6", "op10", "op7", "op12"))}
     assert set(rows.values()) == {200}
-    assert QUERIES["op7_html_main_text"](spark, sf_small).count() == 50
+    assert QUERIES["op7_html_main_text"](spark, sf_small).count() == QUERIES["op12_url_filters"](spark, sf_small).count() == 50
     assert QUERIES["op6_packed_ids"](spark, sf_small).count() > 50
     assert Path(sf_small).exists() and substring.WINDOW == 20
