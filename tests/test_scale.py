@@ -153,7 +153,7 @@ def test_parts_of_a_community_are_taken_apart(spark):
     edges = [(a, b, 1.0) for a, b in pairs] + [(b, a, 1.0) for a, b in pairs]
     graph = spark.createDataFrame(edges, "src int, dst int, weight double")
     nodes = graph.select(F.col("src").alias("cell_id")).distinct()
-    one = communities.communities(graph, nodes, [1.0])
+    one = communities.communities(graph, nodes, [1.0], n_iterations=1)
     got = {r["cell_id"]: r["label"] for r in one.collect()}
     for label in set(got.values()):
         own = {c for c, v in got.items() if v == label}
@@ -166,7 +166,7 @@ def test_parts_of_a_community_are_taken_apart(spark):
         assert seen == own
     best = np.array([got.get(base + k) == got[base] for base in (0, 20, 40) for k in range(12)])
     assert best.all() and len({got[0], got[20], got[40]}) == 3
-    again = {r["cell_id"]: r["label"] for r in communities.communities(graph.repartition(7), nodes.repartition(3), [1.0]).collect()}
+    again = {r["cell_id"]: r["label"] for r in communities.communities(graph.repartition(7), nodes.repartition(3), [1.0], n_iterations=1).collect()}
     assert again == got
 
 
