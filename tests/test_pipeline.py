@@ -161,7 +161,7 @@ def test_resume_with_output_and_clean_overwrite(spark, tmp_path):
     first, second = str(tmp_path / "a"), str(tmp_path / "b")
     ds.write_dataset({**parts, "umap": cells, "notes": cells}, first)
     p.normalize(spark, first, output=second, min_genes=1, min_cells=1)
-    assert ds.tables(spark, second) == ["cells", "expr", "genes", "notes"]  # results on the old cells stay behind
+    assert ds.tables(spark, second) == ["cells", "expr", "genes", "notes", "qc_medians"]  # results on the old cells stay behind
     p.normalize(spark, first, output=second, min_genes=1, min_cells=1, resume=True)
     with pytest.raises(FileExistsError):
         p.normalize(spark, first, output=second, min_genes=1, min_cells=1)
