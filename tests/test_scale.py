@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cellframe.operators import communities, embed, enrich, spatial, vectors
+from cellframe.operators import communities, embed, enrich, neighborhood, spatial, vectors
 from cellframe.sources import dataset as ds
 
 
@@ -221,3 +221,31 @@ def test_many_samples_are_one_read(spark, tmp_path):
     assert parts["cells"].count() == 80 and parts["expr"].count() == 40 and parts["genes"].count() == 3
     text = parts["cells"]._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("Relation") <= 3  # one read of the cells, whatever the number of samples
+
+
+@pytest.mark.parametrize("radius,include_self,normalize", [(1.5, True, True), (1.5, False, False), ((0.5, 1.5), True, False), ((0.5, 1.5), False, True)])
+def test_radius_composition_is_that_of_the_radius_graph(spark, monkeypatch, radius, include_self, normalize):
+    monkeypatch.setattr(spatial, "_BLOCK", 40)
+    rng = np.random.default_rng(3)
+    xy = [tuple(map(float, p)) for p in np.concatenate([rng.normal(0, 0.4, (250, 2)), rng.uniform(-40, 40, (150, 2))])]
+    xy += [(0.0, 0.0)] * 60 + [(-0.0, 1.5), (20.0, 20.0), (20.0, 21.5), (None, 1.0), (float("nan"), 0.0)]
+    rows = [(i, x, y, None if i == 7 else "ab"[i % 5 == 0], [None, "A", "B", "C"][i % 4]) for i, (x, y) in enumerate(xy)]
+    cells = spark.createDataFrame(rows, "cell_id int, x double, y double, lib string, cell_type string")
+    edges = spatial.radius_graph(cells, radius, "lib")
+    want = neighborhood.composition(edges, cells, include_self=include_self, normalize=normalize)
+    got = neighborhood.radius_composition(cells, radius, "lib", include_self=include_self, normalize=normalize)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_radius_counts_send_points_and_not_pairs(spark):
+    """Every point at one place: a graph would have a million edges; counts have a row per point and kind."""
+    cells = spark.range(1000).selectExpr("id AS cell_id", "1.0D AS x", "2.0D AS y", "id % 2 AS kind")
+    counts = spatial.radius_counts(cells, 3.0, kind="kind")
+    assert counts.count() == 2000
+    assert {tuple(r) for r in counts.groupBy("kind").agg(F.sum("n")).collect()} == {(0, 500_000.0), (1, 500_000.0)}
+
+
+def test_radius_counts_of_many_kinds(spark):
+    cells = spark.range(300).selectExpr("id AS cell_id", "double(id % 10) AS x", "0.0D AS y", "string(id % 100) AS kind")
+    got = {(r["src"], r["kind"]): r["n"] for r in spatial.radius_counts(cells, 1.0, kind="kind").collect()}
+    assert got == {(i, str(k)): 3.0 for i in range(300) for k in range(100) if abs(i % 10 - k % 10) <= 1}
