@@ -249,3 +249,16 @@ def test_radius_counts_of_many_kinds(spark):
     cells = spark.range(300).selectExpr("id AS cell_id", "double(id % 10) AS x", "0.0D AS y", "string(id % 100) AS kind")
     got = {(r["src"], r["kind"]): r["n"] for r in spatial.radius_counts(cells, 1.0, kind="kind").collect()}
     assert got == {(i, str(k)): 3.0 for i in range(300) for k in range(100) if abs(i % 10 - k % 10) <= 1}
+
+
+@pytest.mark.parametrize("low", [0.0, 0.6])
+def test_spectral_radius_graph_is_the_transformed_graph(spark, monkeypatch, low):
+    monkeypatch.setattr(spatial, "_BLOCK", 40)
+    rng = np.random.default_rng(4)
+    rows = [(f"c{i}", float(x), float(y), "ab"[i % 3 == 0]) for i, (x, y) in enumerate(np.concatenate([rng.normal(0, 0.5, (200, 2)), rng.uniform(-30, 30, (100, 2)), np.zeros((50, 2))]))]
+    cells = spark.createDataFrame(rows, "cell_id string, x double, y double, lib string")
+    want = spatial.transform_graph(spatial.radius_graph(cells, (low, 1.5), "lib"), "spectral").collect()
+    got = spatial.neighbor_graph(cells, radius=(low, 1.5), library="lib", transform="spectral").collect()
+    assert len(got) == len(want) and {(r["src"], r["dst"]) for r in got} == {(r["src"], r["dst"]) for r in want}
+    weight = {(r["src"], r["dst"]): (r["weight"], r["distance"]) for r in want}
+    assert all((r["weight"], r["distance"]) == pytest.approx(weight[r["src"], r["dst"]], rel=1e-12) for r in got)
