@@ -262,3 +262,12 @@ def test_spectral_radius_graph_is_the_transformed_graph(spark, monkeypatch, low)
     assert len(got) == len(want) and {(r["src"], r["dst"]) for r in got} == {(r["src"], r["dst"]) for r in want}
     weight = {(r["src"], r["dst"]): (r["weight"], r["distance"]) for r in want}
     assert all((r["weight"], r["distance"]) == pytest.approx(weight[r["src"], r["dst"]], rel=1e-12) for r in got)
+
+
+def test_distances_by_products_do_not_cancel():
+    rng = np.random.default_rng(6)
+    a, b = rng.normal(0, 1, (80, 32)), rng.normal(0, 1, (70, 32))
+    b[:9] = a[:9]
+    b[9:20] = a[9:20] + 1e-9
+    got, want = vectors.near_exact_distances(a, b), vectors.exact_distances(a, b)
+    assert np.allclose(got, want, rtol=1e-10, atol=0) and (got[range(9), range(9)] == 0).all()
