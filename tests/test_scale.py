@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cellframe.operators import communities, embed, enrich, neighborhood, spatial, vectors
+from cellframe.operators import communities, embed, enrich, nearest, neighborhood, spatial, vectors
 from cellframe.sources import dataset as ds
 
 
@@ -264,6 +264,23 @@ def test_spectral_radius_graph_is_the_transformed_graph(spark, monkeypatch, low)
     assert all((r["weight"], r["distance"]) == pytest.approx(weight[r["src"], r["dst"]], rel=1e-12) for r in got)
 
 
+@pytest.mark.parametrize("kind", ["string", "bigint"])
+def test_nearest_by_products_is_exact(spark, monkeypatch, kind):
+    """Copies, ties and an offset that cancels in products: the same neighbours as brute force, in the order of distance and id."""
+    monkeypatch.setattr(nearest, "_SEARCHES", 100)
+    monkeypatch.setattr(nearest, "_CHUNK", 150)
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(0, 1, (300, 20)), 1e4 + 1e-3 * rng.normal(0, 1, (60, 20)), rng.integers(0, 2, (120, 20)).astype(float), np.zeros((25, 20))])
+    ids = [f"c{i}" if kind == "string" else i for i in range(len(x))]
+    points = spark.createDataFrame(list(zip(ids, x.tolist())), f"cell_id {kind}, vector array<double>")
+    d = vectors.exact_distances(x, x)
+    want = {}
+    for i in range(len(x)):
+        order = sorted((d[i, j], ids[j]) for j in range(len(x)) if j != i)[:9]
+        want |= {(ids[i], j): w for w, j in order}
+    assert {(r["src"], r["dst"]): r["distance"] for r in nearest.knn_vectors(points, 10).collect()} == want
+
+
 def test_distances_by_products_do_not_cancel():
     rng = np.random.default_rng(6)
     a, b = rng.normal(0, 1, (80, 32)), rng.normal(0, 1, (70, 32))
