@@ -288,3 +288,12 @@ def test_distances_by_products_do_not_cancel():
     b[9:20] = a[9:20] + 1e-9
     got, want = vectors.near_exact_distances(a, b), vectors.exact_distances(a, b)
     assert np.allclose(got, want, rtol=1e-10, atol=0) and (got[range(9), range(9)] == 0).all()
+
+
+def test_radius_graph_of_copies_does_not_grow_with_their_pairs(spark):
+    """2000 cells at one place and 2000 at another: the packed graph has a few rows of lists, and unpacks to all eight million pairs but for each cell with itself."""
+    cells = spark.range(4000).selectExpr("id AS cell_id", "double(id % 2) AS x", "0.0D AS y")
+    packed = spatial.packed_radius_graph(cells, 1.0)
+    assert packed.count() <= 64 and packed.agg(F.max(F.size("src"))).first()[0] < 2000
+    edges = spatial.radius_graph(cells, 1.0)
+    assert edges.groupBy("distance").count().orderBy("distance").collect() == [(0.0, 2 * 2000 * 1999), (1.0, 2 * 2000 * 2000)]
