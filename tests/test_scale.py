@@ -297,3 +297,26 @@ def test_radius_graph_of_copies_does_not_grow_with_their_pairs(spark):
     assert packed.count() <= 64 and packed.agg(F.max(F.size("src"))).first()[0] < 2000
     edges = spatial.radius_graph(cells, 1.0)
     assert edges.groupBy("distance").count().orderBy("distance").collect() == [(0.0, 2 * 2000 * 1999), (1.0, 2 * 2000 * 2000)]
+
+
+@pytest.mark.parametrize("low", [0.0, 0.6])
+def test_cosine_radius_graph_is_the_transformed_graph(spark, monkeypatch, low):
+    monkeypatch.setattr(spatial, "_BLOCK", 40)
+    monkeypatch.setattr(spatial, "_COPIES", 20)
+    monkeypatch.setattr(spatial, "_CELLS", 500)
+    rng = np.random.default_rng(7)
+    xy = np.concatenate([rng.normal(0, 0.8, (120, 2)), rng.uniform(-30, 30, (150, 2)), np.zeros((50, 2)), np.full((2, 2), 90.0), np.full((1, 2), 95.0)])
+    rows = [(f"c{i}", float(x), float(y), "ab"[i % 3 == 0]) for i, (x, y) in enumerate(xy)]
+    cells = spark.createDataFrame(rows, "cell_id string, x double, y double, lib string")
+    want = {(r["src"], r["dst"]): r["weight"] for r in spatial.transform_graph(spatial.radius_graph(cells, (low, 1.5), "lib"), "cosine").collect()}
+    got = spatial.neighbor_graph(cells, radius=(low, 1.5), library="lib", transform="cosine").collect()
+    assert len(got) == len(want) and {(r["src"], r["dst"]) for r in got} == set(want)
+    assert all(r["weight"] == pytest.approx(want[r["src"], r["dst"]], rel=1e-12) for r in got)
+
+
+def test_cosine_of_copies_sends_no_pairs(spark):
+    cells = spark.range(3000).selectExpr("id AS cell_id", "0.0D AS x", "0.0D AS y")
+    packed = spatial.packed_cosine_graph(cells, 1.0)
+    assert packed.count() <= 16
+    found = spatial.unpack_cosine(packed).groupBy(F.round("weight", 12).alias("weight")).count().orderBy("weight").collect()
+    assert found == [(round(2998 / 2999, 12), 3000 * 2999), (1.0, 3000)]
