@@ -320,3 +320,18 @@ def test_cosine_of_copies_sends_no_pairs(spark):
     assert packed.count() <= 16
     found = spatial.unpack_cosine(packed).groupBy(F.round("weight", 12).alias("weight")).count().orderBy("weight").collect()
     assert found == [(round(2998 / 2999, 12), 3000 * 2999), (1.0, 3000)]
+
+
+def test_radius_vectors_are_those_of_the_composition(spark, monkeypatch):
+    """One vector a position and type, unpacked to all cells, those without a place included."""
+    monkeypatch.setattr(spatial, "_COPIES", 20)
+    rng = np.random.default_rng(8)
+    xy = [tuple(map(float, p)) for p in np.round(rng.normal(0, 2, (300, 2)), 0)] + [(0.0, 0.0)] * 60 + [(-0.0, 0.0), (None, 1.0), (float("nan"), 0.0)]
+    rows = [(i, x, y, None if i % 50 == 7 else "ab"[i % 5 == 0], [None, "A", "B", "C"][i % 4]) for i, (x, y) in enumerate(xy)]
+    cells = spark.createDataFrame(rows, "cell_id int, x double, y double, lib string, cell_type string")
+    composed = neighborhood.composition(spatial.radius_graph(cells, 1.5, "lib"), cells)
+    want = neighborhood.composition_vectors(composed, cells, ["A", "B", "C"])
+    got = neighborhood.radius_vectors(cells, 1.5, ["A", "B", "C"], "lib")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    packs, counts = spatial.pack_counts(spark.range(5000).selectExpr("id AS cell_id", "1.0D AS x", "2.0D AS y", "'A' AS t"), 3.0, None, "t")
+    assert packs.count() < 2000 and counts.count() < 2000  # a thousand cells or so are a row, not each
