@@ -335,3 +335,26 @@ def test_radius_vectors_are_those_of_the_composition(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     packs, counts = spatial.pack_counts(spark.range(5000).selectExpr("id AS cell_id", "1.0D AS x", "2.0D AS y", "'A' AS t"), 3.0, None, "t")
     assert packs.count() < 2000 and counts.count() < 2000  # a thousand cells or so are a row, not each
+
+
+def test_hdbscan_reads_the_cells_once(spark):
+    """Copies are counted before the first search; statistics and silhouette come from the weights."""
+    from cellframe.operators import density
+
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.normal(0, 0.1, (30, 2)), rng.normal(5, 0.1, (30, 2)), [[20.0, 20.0]]]).round(2)
+    rows = [(i * 40 + k, x[i].tolist()) for i in range(len(x)) for k in range(1 if i == 60 else 40)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame(rows, "cell_id bigint, vector array<double>")
+    out = density.hdbscan(df.mapInArrow(count, df.schema), 60)["stats"].first()
+    labels = np.array([r["label"] for r in density.hdbscan(df, 60)["labels"].orderBy("cell_id").collect()])
+    assert seen.value == len(rows)
+    inside = labels != "-1"
+    assert (out["n_clusters"], out["n_noise"]) == (len(set(labels[inside])), (~inside).sum()) and out["n_clusters"] > 1
+    assert out["silhouette"] == pytest.approx(brute_silhouette(np.array([v for _, v in rows])[inside], labels[inside]), rel=1e-9)
