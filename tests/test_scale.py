@@ -358,3 +358,17 @@ def test_hdbscan_reads_the_cells_once(spark):
     inside = labels != "-1"
     assert (out["n_clusters"], out["n_noise"]) == (len(set(labels[inside])), (~inside).sum()) and out["n_clusters"] > 1
     assert out["silhouette"] == pytest.approx(brute_silhouette(np.array([v for _, v in rows])[inside], labels[inside]), rel=1e-9)
+
+
+def test_forced_labels_compare_no_pairs(spark, monkeypatch):
+    from cellframe.operators import kmeans
+
+    rng = np.random.default_rng(10)
+    df = spark.createDataFrame([(i, rng.normal(9 * (i % 3), 1, 4).tolist()) for i in range(300)], "cell_id bigint, vector array<double>")
+    want = kmeans.kmeans_sweep(df, 2, 4, force_n_clusters=3, n_init=2)
+    monkeypatch.setattr(kmeans, "silhouettes", None)
+    got = kmeans.kmeans_sweep(df, 2, 4, force_n_clusters=3, n_init=2, scored=False)
+    assert sorted(map(tuple, got["labels"].collect())) == sorted(map(tuple, want["labels"].collect()))
+    assert [r["selected"] for r in got["sweep"].orderBy("n_clusters").collect()] == [False, True, False]
+    with pytest.raises(ValueError, match="forced"):
+        kmeans.kmeans_sweep(df, 2, 4, scored=False)
