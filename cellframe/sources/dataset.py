@@ -236,7 +236,7 @@ def _home(spark: SparkSession, path: str) -> str:
 
 def _tagged(df: DataFrame, homes: DataFrame, home) -> DataFrame:
     """Rows with the samples that read them; a folder that several samples name is read for each."""
-    return df.drop("sample").withColumn("_home", home).join(homes, "_home").drop("_home", "_file")
+    return df.drop("sample").withColumn("_home", home).join(F.broadcast(homes), "_home").drop("_home", "_file")
 
 
 def _check_dataset(spark: SparkSession, root: str, names: tuple) -> None:
@@ -252,7 +252,8 @@ def load_samples(spark: SparkSession, manifest: DataFrame, stored_suffix: str =
     """Union of all samples of a manifest, cells tagged with sample and metadata.
 
     Paths that end with ``stored_suffix`` are stored datasets, others raw sample folders. All folders of a kind are one read of each
-    table, whatever their number, and rows find their sample by the place of their file. Columns that some samples lack are null
+    table, whatever their number, and rows find their sample by the place of their file. The manifest, at most ``MAX_SAMPLES`` rows, is
+    sent to the rows: few samples would be few keys, and all rows of a sample one task. Columns that some samples lack are null
     there; transcripts without a quality stay, since some samples may have none. Cell ids get the sample as prefix, so equal ids of
     different samples stay apart.
     """
@@ -286,7 +287,7 @@ def load_samples(spark: SparkSession, manifest: DataFrame, stored_suffix: str =
         kinds.append(_instrument_tables(*tables_, MIN_QV, ["sample"]))
     tag = F.concat_ws("-", "sample", F.col("cell_id").cast("string"))
     return {
-        "cells": attach_metadata(concat_samples([k["cells"].withColumn("cell_id", tag) for k in kinds]), manifest),
+        "cells": attach_metadata(concat_samples([k["cells"].withColumn("cell_id", tag) for k in kinds]), F.broadcast(manifest)),
         "genes": concat_samples([k["genes"].select("gene_id") for k in kinds]).distinct(),
         "expr": concat_samples([k["expr"].withColumn("cell_id", tag).drop("sample") for k in kinds]),
     }

@@ -372,3 +372,17 @@ def test_forced_labels_compare_no_pairs(spark, monkeypatch):
     assert [r["selected"] for r in got["sweep"].orderBy("n_clusters").collect()] == [False, True, False]
     with pytest.raises(ValueError, match="forced"):
         kmeans.kmeans_sweep(df, 2, 4, scored=False)
+
+
+def test_samples_are_no_shuffle_keys(spark, tmp_path):
+    """Rows find their sample and its metadata where they are read; a shuffle by sample would make one task of each."""
+    from checks.storage import write_raw_folder
+    from cellframe.sources import dataset
+
+    for status in "FO":
+        write_raw_folder(spark, "/root/testdata/sf0.001", f"{tmp_path}/{status}", status)
+    manifest = spark.createDataFrame([(s, f"{tmp_path}/{s}", "x", i) for i, s in enumerate("FO")], "sample string, path string, site string, ordinal long")
+    parts = dataset.load_samples(spark, manifest)
+    assert parts["cells"].select("sample").distinct().count() == 2
+    for name in ("cells", "expr"):
+        assert "SortMergeJoin" not in parts[name]._jdf.queryExecution().executedPlan().toString()
