@@ -386,3 +386,13 @@ def test_samples_are_no_shuffle_keys(spark, tmp_path):
     assert parts["cells"].select("sample").distinct().count() == 2
     for name in ("cells", "expr"):
         assert "SortMergeJoin" not in parts[name]._jdf.queryExecution().executedPlan().toString()
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_modularity_reads_a_stored_graph(spark):
+    from checks.clusters import modularity
+
+    assert "lineitem" not in plan_of(modularity(spark, "/root/testdata/sf0.001"))
