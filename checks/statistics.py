@@ -86,8 +86,8 @@ TOP = S.with_(*LOGNORM, EVERYONE, WILCOXON) + """, top AS (
   SELECT * FROM wx QUALIFY row_number() OVER (PARTITION BY grp ORDER BY round(score, 6) DESC, gene_id) <= 5)"""
 
 
-def _rounded_ranking(spark, sf):
-    out = de.wilcoxon_scores(lognorm(spark, sf), t.cells(spark, sf), t.genes(spark, sf), "cluster")
+def _rounded_ranking(spark, sf, expr=None):
+    out = de.wilcoxon_scores(lognorm(spark, sf) if expr is None else expr, t.cells(spark, sf), t.genes(spark, sf), "cluster")
     return out.select("group", "gene_id", r6("score"), r6("logfc"))
 
 
@@ -119,7 +119,8 @@ def de_result_export(spark, sf):
   FROM top t CROSS JOIN sizes s LEFT JOIN yy ON yy.gene_id = t.gene_id AND yy.grp = s.grp GROUP BY ALL)
 SELECT source, gene_id, grp AS "group", round(coalesce(s, 0) / n1, 6) AS mean_expression, round(k / n1, 6) AS fraction_expressing FROM hits""")
 def top_de_dot_table(spark, sf):
-    out = summaries.top_de_table(_rounded_ranking(spark, sf), lognorm(spark, sf), t.cells(spark, sf), "cluster", 5)
+    expr = lognorm(spark, sf)
+    out = summaries.top_de_table(_rounded_ranking(spark, sf, expr), expr, t.cells(spark, sf), "cluster", 5)
     return out.select("source", "gene_id", "group", r6("mean_expression"), r6("fraction_expressing"))
 
 

@@ -396,3 +396,9 @@ def test_modularity_reads_a_stored_graph(spark):
     from checks.clusters import modularity
 
     assert "lineitem" not in plan_of(modularity(spark, "/root/testdata/sf0.001"))
+
+
+def test_ranking_of_a_dot_table_is_stored(spark):
+    from checks.statistics import top_de_dot_table
+
+    assert "Window" not in plan_of(top_de_dot_table(spark, "/root/testdata/sf0.001"))
