@@ -25,13 +25,16 @@ _STRIPE = 256  # genes whose partial products travel together
 
 
 def index_genes(genes: DataFrame) -> tuple[DataFrame, list]:
-    """(gene_id, idx) in gene order, and that order; the gene list is bounded and checked."""
+    """(gene_id, idx) in gene order, and that order; the gene list is bounded and checked.
+
+    It is broadcast where it is joined: few genes would be few keys, and all values of a gene one task.
+    """
     names = [r[0] for r in genes.select("gene_id").distinct().orderBy("gene_id").limit(MAX_GENES + 1).collect()]
     if len(names) > MAX_GENES:
         raise ValueError(f"more than {MAX_GENES} genes")
     spark = genes.sparkSession
     schema = T.StructType([genes.schema["gene_id"], T.StructField("idx", T.IntegerType())])
-    return spark.createDataFrame([(g, i) for i, g in enumerate(names)], schema), names
+    return F.broadcast(spark.createDataFrame([(g, i) for i, g in enumerate(names)], schema)), names
 
 
 def _entries(expr: DataFrame, cells: DataFrame, indexed: DataFrame, value: str) -> DataFrame:

@@ -402,3 +402,10 @@ def test_ranking_of_a_dot_table_is_stored(spark):
     from checks.statistics import top_de_dot_table
 
     assert "Window" not in plan_of(top_de_dot_table(spark, "/root/testdata/sf0.001"))
+
+
+def test_genes_are_no_shuffle_keys(spark):
+    expr = spark.createDataFrame([(i, i % 3, 1.0 + i) for i in range(30)], "cell_id long, gene_id long, lognorm double")
+    indexed, names = embed.index_genes(expr.select("gene_id"))
+    rows = embed._entries(expr, expr.select("cell_id"), indexed, "lognorm")
+    assert "SortMergeJoin [gene_id" not in plan_of(rows) and rows.count() == 30
