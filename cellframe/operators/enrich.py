@@ -18,6 +18,8 @@ from cellframe.session import store
 
 #: All models of one call, matrices of (sources + 1) squared doubles, may take so many bytes on the driver and in each worker.
 MAX_MODEL_BYTES = 512 * 1024 * 1024
+#: A network of at most so many edges is broadcast: few genes would be few keys, and all values of a gene one task.
+MAX_SENT_EDGES = 500_000
 
 
 def _named(net: DataFrame) -> DataFrame:
@@ -51,13 +53,16 @@ def _catalog(net: DataFrame) -> DataFrame:
 def _cell_sums(expr: DataFrame, net: DataFrame, catalog: DataFrame, width: Column, value: str) -> DataFrame:
     """Per cell: ``sy``, ``syy`` and the array ``sxy`` with the sum of weight * value of each source, at its number.
 
-    The network is packed to one row per gene, so the expression table meets it in one equi join. Every
+    The network is packed to one row per gene, so the expression table meets it in one equi join; it is broadcast unless it has more
+    than ``MAX_SENT_EDGES`` edges, so the expression table stays where it is. Every
     row also feeds an entry numbered -1 that carries the cell totals, so one aggregate by (cell, source) and one
     by cell serve all three results; on a table already hashed by cell neither shuffles. The array is filled up with zeros between the
     sources a cell has, in one pass over them.
     """
     numbered = net.join(catalog.select("net_name", "source", "j"), ["net_name", "source"])
     packed = numbered.groupBy("gene_id").agg(F.collect_list(F.struct("j", F.col("weight").alias("w"))).alias("_hits"))
+    if net.limit(MAX_SENT_EDGES + 1).count() <= MAX_SENT_EDGES:
+        packed = F.broadcast(packed)
     entry = "array<struct<j:int,w:double>>"
     totals = F.expr(f"cast(array(named_struct('j', -1, 'w', 1.0D)) as {entry})")
     hits = F.concat(totals, F.coalesce(F.col("_hits").cast(entry), F.array().cast(entry)))
@@ -91,18 +96,22 @@ def ulm_scores(
     width = catalog.agg(F.count("*").cast("int")).scalar()
     sums = cells.select("cell_id").join(_cell_sums(expr, net_kept, catalog, width, value), "cell_id", "left")
     filled = F.coalesce("sxy", F.transform("_names", lambda _: F.lit(0.0)))
-    rows = sums.withColumn("_g", n_genes.cast("double")).withColumn("_names", names).select(
-        "cell_id", "sy", "syy", "_g", F.inline(F.arrays_zip(F.col("_names").alias("n"), filled.alias("xy")))
-    )
-    g, sx = F.col("_g"), F.col("n.sx")
-    sxy = F.col("xy") - sx * F.col("sy") / g
-    vx = F.col("n.sxx") - sx * sx / g
-    vy = F.col("syy") - F.col("sy") * F.col("sy") / g
-    r = F.when((vx > 0) & (vy > 0), sxy / F.sqrt(vx * vy))
-    rows = rows.select("cell_id", "n.net_name", "n.source", g.alias("_g"), r.alias("_r"))
-    rest = (1 - F.col("_r")) * (1 + F.col("_r"))
-    score = F.when(rest > 0, F.col("_r") * F.sqrt((F.col("_g") - 2) / rest))
-    out = rows.select("cell_id", "net_name", "source", score.alias("score"))
+    g, sy = F.col("_g"), F.col("sy")
+    vy = F.col("syy") - sy * sy / g
+
+    def correlation(n: Column, xy: Column) -> Column:
+        vx = n["sxx"] - n["sx"] * n["sx"] / g
+        r = F.when((vx > 0) & (F.col("_vy") > 0), (xy - n["sx"] * sy / g) / F.sqrt(vx * F.col("_vy")))
+        return F.struct(n["net_name"].alias("net_name"), n["source"].alias("source"), r.alias("r"))
+
+    def t_value(e: Column) -> Column:
+        rest = (1 - e["r"]) * (1 + e["r"])
+        score = F.when(rest > 0, e["r"] * F.sqrt((g - 2) / rest))
+        return F.struct(e["net_name"].alias("net_name"), e["source"].alias("source"), score.alias("score"))
+
+    # Scores are made inside the array: as columns of the exploded rows, a later filter on them would repeat the whole formula many times.
+    cells_with = sums.withColumn("_g", n_genes.cast("double")).withColumn("_names", names).withColumn("_vy", vy)
+    out = cells_with.select("cell_id", F.inline(F.transform(F.zip_with("_names", filled, correlation), t_value)))
     return out if "net_name" in net.columns else out.drop("net_name")
 
 

@@ -409,3 +409,20 @@ def test_genes_are_no_shuffle_keys(spark):
     indexed, names = embed.index_genes(expr.select("gene_id"))
     rows = embed._entries(expr, expr.select("cell_id"), indexed, "lognorm")
     assert "SortMergeJoin [gene_id" not in plan_of(rows) and rows.count() == 30
+
+
+def test_genes_of_a_network_are_no_shuffle_keys_and_scores_are_made_once(spark, monkeypatch):
+    """A filter on the score is not a copy of its formula, and a network over the limit gives the same scores without being sent."""
+    rows = [(c, f"g{(c * 7 + i * 5) % 12}", float(1 + (c + i) % 4)) for c in range(40) for i in range(5)]
+    expr = spark.createDataFrame(rows, "cell_id int, gene_id string, lognorm double").groupBy("cell_id", "gene_id").agg(F.sum("lognorm").alias("lognorm"))
+    genes = spark.createDataFrame([(f"g{i}",) for i in range(12)], "gene_id string")
+    net = spark.createDataFrame([(f"s{i % 3}", f"g{i}", 1.0 + i % 2) for i in range(9)], "source string, target string, weight double")
+    cells = spark.range(42).select(F.col("id").cast("int").alias("cell_id"))
+    out = {}
+    for most in (9, 8):
+        monkeypatch.setattr(enrich, "MAX_SENT_EDGES", most)
+        kept = enrich.ulm_scores(expr, cells, genes, net).where("score is not null and not isnan(score)")
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("SQRT") == 2 and ("strategy=broadcast" in plan) == (most == 9)
+        out[most] = {(r["cell_id"], r["source"]): round(r["score"], 9) for r in kept.collect()}
+    assert out[9] == out[8] and len(out[9]) == 40 * 3
