@@ -426,3 +426,27 @@ def test_genes_of_a_network_are_no_shuffle_keys_and_scores_are_made_once(spark,
         assert plan.count("SQRT") == 2 and ("strategy=broadcast" in plan) == (most == 9)
         out[most] = {(r["cell_id"], r["source"]): round(r["score"], 9) for r in kept.collect()}
     assert out[9] == out[8] and len(out[9]) == 40 * 3
+
+
+def test_blocks_meet_in_passes(spark, monkeypatch):
+    """Blocks are broadcast a few at a time and states wait in between: as many passes as bundles, no row sent to every block by shuffle."""
+    monkeypatch.setattr(vectors, "BLOCK", 40)
+    monkeypatch.setattr(vectors, "SENT", 2000)
+    rng = np.random.default_rng(12)
+    x = np.concatenate([rng.normal(c, 1, (70, 17)) for c in (0, 1, 4)])
+    labels = np.repeat(["a", "b", "c"], 70)
+    table = spark.createDataFrame([(i, v.tolist(), c) for i, (v, c) in enumerate(zip(x, labels.tolist()))], "cell_id int, vector array<double>, label string")
+    passes = []
+    bundles = vectors.bundles
+
+    def counted(*args):
+        for rows, last in bundles(*args):
+            passes.append(len(rows))
+            yield rows, last
+
+    monkeypatch.setattr(vectors, "bundles", counted)
+    assert vectors.silhouette(table).first()[0] == pytest.approx(brute_silhouette(x, labels))
+    assert len(passes) > 3 and sum(passes) >= 6  # each label in pieces of 40 vectors
+    codes = table.selectExpr("cell_id AS vid", "vector", "1.0D AS w", "array(ascii(label) - 97, cell_id % 2) AS labels")
+    got = {r["run"]: r["silhouette"] for r in vectors.silhouettes(codes, [3, 2]).collect()}
+    assert got == pytest.approx({0: brute_silhouette(x, labels), 1: brute_silhouette(x, np.arange(len(x)) % 2)})
