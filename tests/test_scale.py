@@ -450,3 +450,22 @@ def test_blocks_meet_in_passes(spark, monkeypatch):
     codes = table.selectExpr("cell_id AS vid", "vector", "1.0D AS w", "array(ascii(label) - 97, cell_id % 2) AS labels")
     got = {r["run"]: r["silhouette"] for r in vectors.silhouettes(codes, [3, 2]).collect()}
     assert got == pytest.approx({0: brute_silhouette(x, labels), 1: brute_silhouette(x, np.arange(len(x)) % 2)})
+
+
+def test_held_rounds_are_those_of_the_joins(spark, monkeypatch):
+    """The communities of a graph are the same whether rounds run over held states or over joins; the hash is Spark's own."""
+    ids = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 200)
+    rows = spark.createDataFrame([(int(i),) for i in ids], "node bigint")
+    for turn in (0, 7):
+        want = {r[0]: r[1] for r in rows.select("node", F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(2)) == 0).collect()}
+        assert dict(zip(ids.tolist(), communities.awake(ids, turn).tolist())) == want
+    rng = np.random.default_rng(2)
+    group = np.arange(60) // 15
+    pairs = [(i, j, float(rng.integers(1, 9))) for i in range(60) for j in range(i) if rng.random() < (0.5 if group[i] == group[j] else 0.04)]
+    graph = spark.createDataFrame([p for i, j, w in pairs for p in ((i, j, w), (j, i, w))], "src int, dst int, weight double")
+    nodes = spark.range(61).selectExpr("cast(id AS int) AS cell_id")  # the last has no edge
+    monkeypatch.setattr(communities, "_move_round", None)
+    held = sorted(map(tuple, communities.communities(graph, nodes, [0.4, 1.0]).collect()))
+    monkeypatch.undo()
+    monkeypatch.setattr(communities, "HELD", 0)
+    assert sorted(map(tuple, communities.communities(graph, nodes, [0.4, 1.0]).collect())) == held
